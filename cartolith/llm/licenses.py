@@ -27,6 +27,11 @@ class Rule:
     label: str
     priority: int
     pattern: str
+    gate: str = ""  # a substring that texts with a match have; the keyword's longest word where empty
+
+    @property
+    def needs(self) -> str:
+        return self.gate or max(self.keyword.split(" "), key=len)
 
 
 #: Label, keyword, how the licence is called (regex over words), its SPDX id as words.
@@ -133,10 +138,12 @@ def rules() -> list[Rule]:
     for label, keyword, name, spdx in FAMILIES:
         for p, _, kind, frame in FRAMES:
             pattern = frame.format(name if kind == "name" else spdx)
-            if keyword in EVERYDAY:
-                out.append(Rule("licen", label, p, pattern + " licen[cs]e" if p == 3 else pattern))
+            if kind == "id":
+                out.append(Rule("spdx", label, p, pattern))
+            elif keyword in EVERYDAY:
+                out.append(Rule(keyword, label, p, pattern + " licen[cs]e" if p == 3 else pattern, "licen"))
             else:
-                out.append(Rule("licen" if kind == "id" else keyword, label, p, pattern))
+                out.append(Rule(keyword, label, p, pattern))
         if keyword not in EVERYDAY and re.search("licen[cs]e|creative", name):
             out.append(Rule(keyword, label, 6, name))
     return out + [Rule(k, label, 7, s) for k, label, s in SENTENCES]
@@ -182,8 +189,8 @@ def scan_licenses(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     strongest surviving rule's certainty (0 without any). Null and empty texts have no words.
     """
     rs = rules() if signature_rules is None else signature_rules
-    keywords = sorted({r.keyword for r in rs} | {max(p.split(" "), key=len) for p, _ in phrases})
-    gates = sorted({max(k.split(" "), key=len) for k in keywords})
+    keywords = sorted({r.keyword for r in rs})
+    gates = sorted({r.needs for r in rs} | {max(p.split(" "), key=len) for p, _ in phrases})
     d = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
     low = pinned(d, "low", F.lower("t"))
     gate = F.lit(False)
