@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartolith.llm.words import U64, Chunk, chunks, constants, mix, powers
+from cartolith.llm.words import U64, Chunk, bare, chunks, constants, mix, powers
 from cartolith.runtime import ship
 
 BITS = 18
@@ -149,10 +149,6 @@ def keep_quality(docs: DataFrame, weights: np.ndarray, threshold: float = 0.5, *
 
 # --- toxicity -------------------------------------------------------------------------------------------------------
 
-_LETTER = np.zeros(256, bool)
-_LETTER[[*range(ord("0"), ord("9") + 1), *range(ord("a"), ord("z") + 1), *range(ord("A"), ord("Z") + 1), *range(128, 256)]] = True
-
-
 PREFIXES = (5, 6, 7, 8)
 PLACES = 22
 
@@ -161,17 +157,13 @@ def word_features(c: Chunk) -> np.ndarray:
     """Feature numbers of bare lower-case words, their pairs and their first bytes, one row for each word; -1: none."""
     if not len(c.start):
         return np.zeros((0, 2 + len(PREFIXES)), np.int64)
-    letters = np.concatenate([[0], np.cumsum(_LETTER[c.data])])
-    some = letters[c.end] > letters[c.start]
-    places = np.append(np.flatnonzero(_LETTER[c.data]), len(c.data))
-    first = np.where(some, places[np.minimum(letters[c.start], len(places) - 1)], c.start)
-    last = np.where(some, places[np.maximum(letters[c.end] - 1, 0)] + 1, c.end)
-    of = lambda end, seed: Chunk(c.rows, c.data, c.limits, first, end, c.first).hashes(seed, lower=True)
-    bare = of(last, 21)
-    out = [bare, _pairs(bare, c.first, 22), *(of(np.minimum(first + k, last), 23) for k in PREFIXES)]
+    c = bare(c)
+    of = lambda end, seed: Chunk(c.rows, c.data, c.limits, c.start, end, c.first).hashes(seed, lower=True)
+    whole = of(c.end, 21)
+    out = [whole, _pairs(whole, c.first, 22), *(of(np.minimum(c.start + k, c.end), 23) for k in PREFIXES)]
     out = (np.stack(out, 1) >> U64(64 - PLACES)).astype(np.int64)
     for j, k in enumerate(PREFIXES):
-        out[last - first < k, 2 + j] = -1
+        out[c.end - c.start < k, 2 + j] = -1
     return out
 
 

@@ -1,0 +1,210 @@
+"""Near duplicates: MinHash signatures, a multi-index Hamming join, exact confirmation.
+
+A row's set is its distinct shingles of five words. Rows with equal sets are one class, found by a 128-bit digest of
+the set; only one row of each class goes on. A signature has 64 symbols of 16 bits (the low bits of 64 minima). It is
+split into 12 chunks, so that two signatures that differ in at most 23 symbols have a chunk with at most one
+difference (pigeonhole); all ways of one error in a chunk are enumerated as keys with that symbol left out, 64 keys
+a row. At similarity 0.85 the number of differing symbols is binomial (64, 0.15), so 24 or more have a chance of
+about one in a million. Every pair at or under the distance shares a key.
+
+Pairs inside a bucket are not all made: each member is compared with the bucket's smallest id, links are confirmed on
+the full sets, and components follow. What is left are buckets that still hold several components; there, pairs of
+different components are made, so that no component can be missed.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from cartolith.llm.words import U64, Chunk, chunks, constants, mix, windows
+from cartolith.operators.graph import connected_components
+from cartolith.runtime import materialize, ship
+
+SHINGLE, SYMBOLS, CHUNKS = 5, 64, 12
+ERRORS = 2 * CHUNKS - 1
+PERCENT = 85
+_FACTORS = constants(SYMBOLS, 41)
+_KEY = constants(SYMBOLS, 42)
+
+
+def chunk_limits(symbols: int = SYMBOLS, parts: int = CHUNKS) -> list[tuple[int, int]]:
+    ends = [round(symbols * k / parts) for k in range(parts + 1)]
+    return list(zip(ends, ends[1:], strict=False))
+
+
+def shingle_sets(c: Chunk) -> list[np.ndarray]:
+    """Each row's sorted distinct shingle hashes; a row with fewer words than a shingle has its whole sequence."""
+    h = c.hashes(43, lower=True)
+    s, _ = windows(h, c.first, SHINGLE, 44)
+    out = []
+    for a, b in zip(c.first[:-1].tolist(), c.first[1:].tolist(), strict=True):
+        n = b - a
+        if n >= SHINGLE:
+            out.append(np.unique(s[a : b - SHINGLE + 1]))
+        elif n:
+            out.append(mix((h[a:b] * constants(n, 45)).sum(dtype=U64, keepdims=True) + U64(n)))
+        else:
+            out.append(np.zeros(0, U64))
+    return out
+
+
+def signatures(sets: list[np.ndarray]) -> np.ndarray:
+    """One row of SYMBOLS 16-bit symbols for each non-empty set."""
+    flat = np.concatenate(sets)
+    starts = np.concatenate([[0], np.cumsum([len(s) for s in sets])[:-1]]).astype(np.int64)
+    out = np.empty((len(sets), SYMBOLS), np.uint16)
+    for j in range(SYMBOLS):
+        low = np.minimum.reduceat(mix_light(flat * _FACTORS[j]), starts)
+        out[:, j] = (mix(low) & U64(0xFFFF)).astype(np.uint16)
+    return out
+
+
+def mix_light(x: np.ndarray) -> np.ndarray:
+    return x ^ (x >> U64(32))
+
+
+def row_keys(sig: np.ndarray) -> np.ndarray:
+    """SYMBOLS keys for each signature: its chunks, each with one symbol left out."""
+    parts = (sig.astype(U64) + U64(1)) * _KEY
+    parts = mix(parts)
+    out = np.empty(sig.shape, U64)
+    for k, (a, b) in enumerate(chunk_limits()):
+        total = parts[:, a:b].sum(1, dtype=U64)
+        for j in range(a, b):
+            out[:, j] = mix(total - parts[:, j] + U64(1000 * k + j + 1))
+    return out
+
+
+def profiles(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, n (set size), s1 and s2 (digest of the set), sig (empty set: null)."""
+    ship(docs.sparkSession)
+
+    def run(batches):
+        for b in batches:
+            for c in chunks(b.column(1)):
+                sets = shingle_sets(c)
+                n = np.array([len(s) for s in sets])
+                some = [s for s in sets if len(s)]
+                sig = signatures(some) if some else np.zeros((0, SYMBOLS), np.uint16)
+                digest = iter([r.astype("<u2").tobytes() for r in sig])
+                sums = [[int(mix(s + U64(k)).sum(dtype=U64).view(np.int64)) for k in (7, 8)] for s in sets]
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).slice(c.rows.start, len(sets)), pa.array(n, pa.int64()), *(pa.array([x[k] for x in sums], pa.int64()) for k in (0, 1)), pa.array([next(digest) if k else None for k in n], pa.binary())],
+                    ["id", "n", "s1", "s2", "sig"],
+                )
+
+    kind = dict(docs.dtypes)[id_col]
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, n long, s1 long, s2 long, sig binary")
+
+
+def _keys(batches):
+    for b in batches:
+        if not b.num_rows:
+            continue
+        sig = np.frombuffer(b"".join(b.column("sig").to_pylist()), "<u2").reshape(-1, SYMBOLS)
+        take = pa.array(np.repeat(np.arange(b.num_rows), SYMBOLS))
+        yield pa.RecordBatch.from_arrays([pa.array(row_keys(sig).reshape(-1).view(np.int64)), b.column("id").take(take), b.column("n").take(take)], ["key", "id", "n"])
+
+
+def _sets(batches):
+    for b in batches:
+        for c in chunks(b.column(1)):
+            sets = [s.view(np.int64) for s in shingle_sets(c)]
+            offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([b.column(0).slice(c.rows.start, len(sets)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets)))], ["id", "s"])
+
+
+def _linked(n_a: Column, n_b: Column, common: Column, percent: int) -> Column:
+    return F.lit(100) * common >= F.lit(percent) * (n_a + n_b - common)
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough."""
+    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
+    return both.where(_linked(F.size("sa"), F.size("sb"), F.size(F.array_intersect("sa", "sb")), percent)).select("a", "b")
+
+
+def near_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """id, n_shingles, component_id, kept for every row; linked where 100 * |A and B| >= percent * |A or B|.
+
+    component_id is the smallest id reachable over links, itself included. Empty sets are linked with nothing. Rows
+    that share an id are one node; a row with a null id is its own component and kept.
+    """
+    rows = materialize(profiles(docs, id_col, text_col))
+    full = rows.where("id is not null and n > 0")
+    # one row for each distinct set; the signature follows from the set
+    classes = materialize(full.groupBy("n", "s1", "s2").agg(F.min("id").alias("rep"), F.max("id").alias("top")))
+    reps = full.join(classes.select(F.col("rep").alias("id"), "n", "s1", "s2"), ["id", "n", "s1", "s2"]).dropDuplicates(["id", "n", "s1", "s2"])
+    reps = materialize(reps.select("id", "n", "sig"))
+    kind = dict(docs.dtypes)[id_col]
+    keys = reps.select("id", "n", "sig").mapInArrow(_keys, f"key long, id {kind}, n long")
+    hubs = keys.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub < last").select("key", "hub")
+    hubs = materialize(hubs)
+    members = materialize(keys.join(hubs, "key"))
+    involved = materialize(members.select("id").distinct())
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(involved, "id").dropDuplicates(["id"])
+    sets = materialize(texts.mapInArrow(_sets, f"id {kind}, s array<long>"))
+    size = reps.select(F.col("id").alias("hub"), F.col("n").alias("hub_n"))
+    stars = members.where("id <> hub").groupBy("hub", "id").agg(F.first("n").alias("n")).join(size, "hub")
+    stars = materialize(stars.where(_near(F.col("n"), F.col("hub_n"), percent)).select(F.col("hub").alias("a"), F.col("id").alias("b")))
+    links = materialize(confirmed(stars, sets, percent))
+    comp = materialize(connected_components(links))
+    # buckets that still hold several components
+    named = members.join(comp.select(F.col("node").alias("id"), F.col("component")), "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("c"))
+    named = materialize(named)
+    mixed = materialize(named.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key"))
+    left = materialize(named.join(mixed, "key"))
+    a, b = left.select("key", *[F.col(x).alias(f"{x}_a") for x in ("id", "n", "c")]), left.select("key", *[F.col(x).alias(f"{x}_b") for x in ("id", "n", "c")])
+    more = a.join(b, "key").where((F.col("id_a") < F.col("id_b")) & (F.col("c_a") != F.col("c_b")) & _near(F.col("n_a"), F.col("n_b"), percent))
+    more = more.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
+    extra = materialize(confirmed(materialize(more), sets, percent))
+    if extra.limit(1).count():
+        comp = materialize(connected_components(links.union(extra)))
+    of_class = classes.join(comp.select(F.col("node").alias("rep"), "component"), "rep", "left").select("n", "s1", "s2", F.coalesce("component", "rep").alias("c"))
+    # classes of one row and no link need no join: their row is its own component
+    of_class = of_class.join(classes.where("rep < top").select("n", "s1", "s2"), ["n", "s1", "s2"], "left_semi").union(
+        of_class.join(classes.where("rep = top"), ["n", "s1", "s2"]).where("c <> rep").select("n", "s1", "s2", "c")
+    )
+    of_class = materialize(of_class)
+    out = rows.select("id", "n", "s1", "s2").join(of_class, ["n", "s1", "s2"], "left").select("id", "n", F.when(F.col("n") > 0, F.col("c")).alias("c"))
+    out = out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("c", "id")).alias("component_id"))
+    return out.withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id")))
+
+
+def _near(n_a: Column, n_b: Column, percent: int) -> Column:
+    """Sizes at which the similarity can be reached at all."""
+    return F.lit(100) * F.least(n_a, n_b) >= F.lit(percent) * F.greatest(n_a, n_b)
+
+
+def drop_near(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """docs without the rows that are not the first of their component; all columns. Rows without an id stay."""
+    lost = near_groups(docs, id_col=id_col, text_col=text_col, percent=percent).where(~F.col("kept") & F.col(id_col).isNotNull()).select(id_col)
+    return docs.join(lost, id_col, "left_anti").select(docs.columns)
+
+
+def brute_force(rows: list[tuple[int, str | None]], percent: int = PERCENT) -> dict[int, tuple[int, int]]:
+    """id -> (set size, component) by comparing all pairs, for tests."""
+    import re
+
+    sets = {}
+    for i, t in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(ch) + 32) if "A" <= ch <= "Z" else ch for ch in t or ""))
+        sets[i] = {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+    comp = {i: i for i in sets}
+
+    def root(i):
+        while comp[i] != i:
+            i = comp[i]
+        return i
+
+    ids = sorted(sets)
+    for k, i in enumerate(ids):
+        for j in ids[k + 1 :]:
+            a, b = sets[i], sets[j]
+            if a and b and 100 * min(len(a), len(b)) >= percent * max(len(a), len(b)) and 100 * len(a & b) >= percent * len(a | b):
+                x, y = sorted((root(i), root(j)))
+                comp[y] = x
+    return {i: (len(sets[i]), root(i)) for i in ids}

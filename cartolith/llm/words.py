@@ -73,6 +73,22 @@ class Chunk:
         return mix(h + (self.end - self.start).astype(U64) * U64(0xA24BAED4963EE407) + U64(seed))
 
 
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(ord("0"), ord("9") + 1), *range(ord("a"), ord("z") + 1), *range(ord("A"), ord("Z") + 1), *range(128, 256)]] = True
+
+
+def bare(c: Chunk) -> Chunk:
+    """The chunk with each word's limits drawn in to its letters and digits; a word without any stays as it is."""
+    if not len(c.start):
+        return c
+    letters = np.concatenate([[0], np.cumsum(_LETTER[c.data])])
+    some = letters[c.end] > letters[c.start]
+    places = np.append(np.flatnonzero(_LETTER[c.data]), len(c.data))
+    start = np.where(some, places[np.minimum(letters[c.start], len(places) - 1)], c.start)
+    end = np.where(some, places[np.maximum(letters[c.end] - 1, 0)] + 1, c.end)
+    return Chunk(c.rows, c.data, c.limits, start, end, c.first)
+
+
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and limits of a string column; null is empty."""
     if isinstance(column, pa.ChunkedArray):
