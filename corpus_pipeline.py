@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartolith.llm import bpe, exact, linear
+from cartolith.llm import bpe, decontaminate, exact, linear, minhash
 from cartolith.llm.queries.tokens import TOKENIZER
 from cartolith.runtime import materialize, table
 
@@ -20,12 +20,22 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact.drop_exact(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first of each group of near duplicates."""
+    return minhash.drop_near(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark passage."""
+    return decontaminate.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of every kept document."""
     return bpe.digests(docs, TOKENIZER)
 
 
-STAGES = [("quality classifier", quality), ("exact dedup", exact_dedup), ("BPE encoding and decoding", encode)]
+STAGES = [("quality classifier", quality), ("exact dedup", exact_dedup), ("MinHash near-dedup", near_dedup), ("benchmark decontamination", decontamination), ("BPE encoding and decoding", encode)]
 #: The classifier's training and the tokenizer are not SQL; the pipeline is tested against plain Python.
 ORACLE_SQL = None
 
