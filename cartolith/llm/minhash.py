@@ -8,8 +8,11 @@ a row. At similarity 0.85 the number of differing symbols is binomial (64, 0.15)
 about one in a million. Every pair at or under the distance shares a key.
 
 Pairs inside a bucket are not all made: each member is compared with the bucket's smallest id, links are confirmed on
-the full sets, and components follow. What is left are buckets that still hold several components; there, pairs of
-different components are made, so that no component can be missed.
+the full sets, and components follow. Buckets that still hold several components go through ROUNDS more hubs, each
+drawn by a hash, whose exact distances to the members both link and are kept. What is then left is compared in pairs
+of different components, without those that cannot be linked: 1 - similarity is a metric, so two members whose
+distances to any hub differ by more than the limit are too far apart. A pair whose signatures differ in more than
+ERRORS symbols is no candidate. No component of candidates can be missed.
 """
 
 from __future__ import annotations
@@ -26,6 +29,7 @@ from cartolith.runtime import materialize, ship
 SHINGLE, SYMBOLS, CHUNKS = 5, 64, 12
 ERRORS = 2 * CHUNKS - 1
 PERCENT = 85
+ROUNDS = 2
 _FACTORS = constants(SYMBOLS, 41)
 _KEY = constants(SYMBOLS, 42)
 
@@ -117,17 +121,52 @@ def _sets(batches):
             yield pa.RecordBatch.from_arrays([b.column(0).slice(c.rows.start, len(sets)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets)))], ["id", "s"])
 
 
+LANES = [f"w{k}" for k in range(SYMBOLS // 4)]
+
+
+def _words(batches):
+    """id and the signature as numbers of four lanes of 15 bits; a lane has a symbol's low 14 bits and a spare one."""
+    for b in batches:
+        if b.num_rows:
+            sig = np.frombuffer(b"".join(b.column("sig").to_pylist()), "<u2").reshape(-1, SYMBOLS // 4, 4).astype(np.int64) & 0x3FFF
+            packed = (sig << (15 * np.arange(4))).sum(2)
+            yield pa.RecordBatch.from_arrays([b.column("id"), *(pa.array(np.ascontiguousarray(packed[:, k])) for k in range(len(LANES)))], ["id", *LANES])
+
+
+def lane_errors(a: Column, b: Column) -> Column:
+    """In how many of their four lanes two numbers differ: a lane that isn't 0 carries into its spare bit."""
+    every = lambda x: F.lit(sum(x << (15 * j) for j in range(4)))
+    return F.bit_count((a.bitwiseXOR(b) + every(0x3FFF)).bitwiseAND(every(0x4000))).cast("int")
+
+
 def _linked(n_a: Column, n_b: Column, common: Column, percent: int) -> Column:
     return F.lit(100) * common >= F.lit(percent) * (n_a + n_b - common)
 
 
+def distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) with n_a, n_b and the size of what their full sets share."""
+    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
+    return both.select("a", "b", F.size("sa").alias("n_a"), F.size("sb").alias("n_b"), F.size(F.array_intersect("sa", "sb")).alias("common"))
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
-    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
-    return both.where(_linked(F.size("sa"), F.size("sb"), F.size(F.array_intersect("sa", "sb")), percent)).select("a", "b")
+    return distances(pairs, sets).where(_linked(F.col("n_a"), F.col("n_b"), F.col("common"), percent)).select("a", "b")
+
+
+def _merged(rows: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """rows (key, id, n, c, ds) under the components that links between their components give, and that map."""
+    comp = materialize(connected_components(links).select(F.col("node").alias("c"), F.col("component").alias("c2")))
+    rows = rows.join(comp, "c", "left").select("key", "id", "n", F.coalesce("c2", "c").alias("c"), "ds", *LANES)
+    return materialize(_mixed(materialize(rows))), comp
+
+
+def _mixed(rows: DataFrame) -> DataFrame:
+    keys = materialize(rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key"))
+    return rows.join(keys, "key")
 
 
-def near_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+def near_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, rounds: int = ROUNDS) -> DataFrame:
     """id, n_shingles, component_id, kept for every row; linked where 100 * |A and B| >= percent * |A or B|.
 
     component_id is the smallest id reachable over links, itself included. Empty sets are linked with nothing. Rows
@@ -153,16 +192,34 @@ def near_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     links = materialize(confirmed(stars, sets, percent))
     comp = materialize(connected_components(links))
     # buckets that still hold several components
-    named = members.join(comp.select(F.col("node").alias("id"), F.col("component")), "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("c"))
-    named = materialize(named)
-    mixed = materialize(named.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key"))
-    left = materialize(named.join(mixed, "key"))
-    a, b = left.select("key", *[F.col(x).alias(f"{x}_a") for x in ("id", "n", "c")]), left.select("key", *[F.col(x).alias(f"{x}_b") for x in ("id", "n", "c")])
-    more = a.join(b, "key").where((F.col("id_a") < F.col("id_b")) & (F.col("c_a") != F.col("c_b")) & _near(F.col("n_a"), F.col("n_b"), percent))
-    more = more.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
-    extra = materialize(confirmed(materialize(more), sets, percent))
-    if extra.limit(1).count():
-        comp = materialize(connected_components(links.union(extra)))
+    sg = materialize(reps.select("id", "sig").mapInArrow(_words, f"id {kind}, " + ", ".join(f"{w} long" for w in LANES)).join(involved, "id"))
+    named = members.join(sg, "id").join(comp.select(F.col("node").alias("id"), F.col("component")), "id", "left")
+    named = named.select("key", "id", "n", F.coalesce("component", "id").alias("c"), F.array().cast("array<double>").alias("ds"), *LANES)
+    left = materialize(_mixed(materialize(named)))
+    maps = []
+    for k in range(rounds):
+        if not left.limit(1).count():
+            break
+        own = materialize(left.groupBy("key").agg(F.min_by("id", F.xxhash64("id", F.lit(k))).alias("hub")))
+        with_hub = left.join(own, "key")
+        far = distances(with_hub.where("hub <> id").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), sets)
+        far = materialize(far.select("a", "b", _linked(F.col("n_a"), F.col("n_b"), F.col("common"), percent).alias("ok"), (1 - F.col("common") / (F.col("n_a") + F.col("n_b") - F.col("common"))).alias("d")))
+        known = materialize(with_hub).join(far, (F.col("hub") == F.col("a")) & (F.col("id") == F.col("b")), "left")
+        known = materialize(known.select("key", "id", "n", "c", F.concat("ds", F.array(F.coalesce("d", F.lit(0.0)))).alias("ds"), *LANES))
+        place = materialize(known.select("id", "c").distinct())
+        links = far.where("ok").join(place.select(F.col("id").alias("a"), F.col("c").alias("c_a")), "a").join(place.select(F.col("id").alias("b"), F.col("c").alias("c_b")), "b")
+        left, comp_of = _merged(known, materialize(links.where("c_a <> c_b").select(F.col("c_a").alias("a"), F.col("c_b").alias("b")).distinct()))
+        maps.append(comp_of)
+    a, b = left.select("key", *[F.col(x).alias(f"{x}_a") for x in ("id", "n", "c", "ds", *LANES)]), left.select("key", *[F.col(x).alias(f"{x}_b") for x in ("id", "n", "c", "ds", *LANES)])
+    apart = F.exists(F.zip_with("ds_a", "ds_b", lambda x, y: F.abs(x - y)), lambda x: x > 1 - percent / 100 + 1e-9)
+    more = a.join(b, "key").where((F.col("id_a") < F.col("id_b")) & (F.col("c_a") != F.col("c_b")) & _near(F.col("n_a"), F.col("n_b"), percent) & (sum((lane_errors(F.col(f"{w}_a"), F.col(f"{w}_b")) for w in LANES), F.lit(0)) <= ERRORS) & ~apart)
+    more = materialize(more.groupBy(F.col("id_a").alias("a"), F.col("id_b").alias("b")).agg(F.first("c_a").alias("c_a"), F.first("c_b").alias("c_b")))
+    extra = confirmed(more, sets, percent).join(more, ["a", "b"]).select(F.col("c_a").alias("a"), F.col("c_b").alias("b"))
+    maps.append(materialize(connected_components(extra.distinct()).select(F.col("node").alias("c"), F.col("component").alias("c2"))))
+    comp = classes.select(F.col("rep").alias("node")).join(comp, "node", "left").select("node", F.coalesce("component", "node").alias("c"))
+    for one in maps:
+        comp = comp.join(one, "c", "left").select("node", F.coalesce("c2", "c").alias("c"))
+    comp = materialize(comp.withColumnRenamed("c", "component"))
     of_class = classes.join(comp.select(F.col("node").alias("rep"), "component"), "rep", "left").select("n", "s1", "s2", F.coalesce("component", "rep").alias("c"))
     # classes of one row and no link need no join: their row is its own component
     of_class = of_class.join(classes.where("rep < top").select("n", "s1", "s2"), ["n", "s1", "s2"], "left_semi").union(
