@@ -1,0 +1,90 @@
+"""Column expressions on a Web Mercator world square and on rings. A ring is array<struct<x,y>>."""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+WORLD_PX = 8192.0
+MAX_LAT = 85.05112878
+
+
+def to_world(lon: Column, lat: Column, size: float = WORLD_PX) -> tuple[Column, Column]:
+    """World pixels of a position; latitude is clamped to the square."""
+    phi = F.radians(F.greatest(F.lit(-MAX_LAT), F.least(F.lit(MAX_LAT), lat)))
+    return (lon + 180) / 360 * size, (0.5 - F.ln(F.tan(F.lit(math.pi / 4) + phi / 2)) / (2 * math.pi)) * size
+
+
+def to_lonlat(x: Column, y: Column, size: float = WORLD_PX) -> tuple[Column, Column]:
+    n = F.lit(math.pi) * (1 - 2 * y / size)
+    return x / size * 360 - 180, F.degrees(F.atan(F.sinh(n)))
+
+
+def km_per_px(y: Column, radius_km: float = 6371.0, size: float = WORLD_PX) -> Column:
+    return 2 * math.pi * radius_km / size * F.cos(F.radians(to_lonlat(F.lit(0.0), y, size)[1]))
+
+
+def _next(ring: Column) -> Column:
+    """The ring's points, each moved up by one."""
+    return F.concat(F.slice(ring, F.lit(2), F.greatest(F.lit(0), F.size(ring) - 1)), F.slice(ring, 1, 1))
+
+
+def shoelace(ring: Column) -> Column:
+    """Signed double area."""
+    return F.aggregate(F.zip_with(ring, _next(ring), lambda a, b: a["x"] * b["y"] - b["x"] * a["y"]), F.lit(0.0), lambda s, v: s + v)
+
+
+def perimeter(ring: Column) -> Column:
+    return F.aggregate(F.zip_with(ring, _next(ring), lambda a, b: F.hypot(a["x"] - b["x"], a["y"] - b["y"])), F.lit(0.0), lambda s, v: s + v)
+
+
+def ring_area_km2(ring: Column, radius_km: float = 6371.0) -> Column:
+    """Area of a lon/lat ring on a plane around the mean latitude of the listed points."""
+    mean = F.aggregate(F.transform(ring, lambda p: p["y"]), F.lit(0.0), lambda s, v: s + v) / F.size(ring)
+    k = math.pi / 180 * radius_km
+    return F.abs(shoelace(ring)) / 2 * k * k * F.cos(F.radians(mean))
+
+
+def polygon_area(rings: Column, area=ring_area_km2) -> Column:
+    """Outer ring less its holes, not below 0."""
+    holes = F.aggregate(F.transform(F.slice(rings, F.lit(2), F.greatest(F.lit(0), F.size(rings) - 1)), area), F.lit(0.0), lambda s, v: s + v)
+    return F.greatest(F.lit(0.0), area(rings[0]) - holes)
+
+
+def compactness(area: Column, length: Column) -> Column:
+    return F.when(length > 0, 4 * math.pi * area / (length * length)).otherwise(F.lit(0.0))
+
+
+def in_ring(ring: Column, x: Column, y: Column) -> Column:
+    """Even-odd rule."""
+    crossed = F.zip_with(ring, _next(ring), lambda a, b: F.when(((a["y"] > y) != (b["y"] > y)) & (x < (b["x"] - a["x"]) * (y - a["y"]) / F.when(b["y"] != a["y"], b["y"] - a["y"]) + a["x"]), 1).otherwise(0))
+    return F.aggregate(crossed, F.lit(0), lambda s, v: s + v) % 2 == 1
+
+
+def in_polygon(rings: Column, x: Column, y: Column) -> Column:
+    """Inside the outer ring and in none of its holes."""
+    holes = F.slice(rings, F.lit(2), F.greatest(F.lit(0), F.size(rings) - 1))
+    return in_ring(rings[0], x, y) & ~F.exists(holes, lambda r: in_ring(r, x, y))
+
+
+def chaikin(points: Column) -> Column:
+    """One round of corner cutting on a closed ring."""
+    part = lambda a, b, t: F.struct((a["x"] * (1 - t) + b["x"] * t).alias("x"), (a["y"] * (1 - t) + b["y"] * t).alias("y"))
+    return F.flatten(F.zip_with(points, _next(points), lambda a, b: F.array(part(a, b, 0.25), part(a, b, 0.75))))
+
+
+def segment_distance(px: Column, py: Column, ax: Column, ay: Column, bx: Column, by: Column) -> Column:
+    dx, dy = bx - ax, by - ay
+    length = dx * dx + dy * dy
+    t = F.when(length > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((px - ax) * dx + (py - ay) * dy) / length))).otherwise(F.lit(0.0))
+    return F.hypot(px - ax - t * dx, py - ay - t * dy)
+
+
+def half_up(x: Column) -> Column:
+    return F.floor(x + 0.5)
+
+
+def clamp(x: Column, low: float, high: float) -> Column:
+    return F.greatest(F.lit(low), F.least(F.lit(high), x))

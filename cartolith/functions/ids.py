@@ -1,0 +1,48 @@
+"""Column expressions on names, ids and stable hashes."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def slug(name: Column) -> Column:
+    """Lower-case ASCII letters and digits with single underscores; letters beyond ASCII are separators."""
+    s = F.regexp_replace(F.regexp_replace(F.lower(name), "[^a-z0-9]+", "_"), "^_+|_+$", "")
+    return F.when(s == "", F.lit("unnamed")).otherwise(s)
+
+
+def plain_slug(name: Column) -> Column:
+    """A slug that keeps the base letters of accented Latin ones."""
+    return slug(F.translate(F.lower(name), "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ", "aaaaaaceeeeiiiinooooouuuuyy"))
+
+
+def name_key(name: Column) -> Column:
+    return F.trim(F.regexp_replace(F.lower(name), r"\s+", " "))
+
+
+def id_ok(key: Column, level: str | None = None) -> Column:
+    """level:part[:part...] of lower-case parts."""
+    return key.rlike(rf"^{level or '[a-z][a-z0-9_]*'}(:[a-z0-9_]+)+$")
+
+
+def djb2(s: Column) -> Column:
+    """32-bit multiply-by-33 hash over characters."""
+    return F.aggregate(F.split(s, ""), F.lit(5381).cast("long"), lambda h, c: F.when(c == "", h).otherwise((h * 33 + F.ascii(c)) % (1 << 32)))
+
+
+def fnv_noise(s: Column) -> Column:
+    """FNV-1a over characters, scaled to -1..1."""
+    step = lambda h, c: F.when(c == "", h).otherwise(h.bitwiseXOR(F.ascii(c).cast("long")) * 16777619 % (1 << 32))
+    return F.aggregate(F.split(s, ""), F.lit(2166136261).cast("long"), step) / F.lit(float(0xFFFFFFFF)) * 2 - 1
+
+
+def md5_unit(s: Column) -> Column:
+    """First 8 hex digits of the MD5 as a number in 0..1."""
+    return F.conv(F.substring(F.md5(s), 1, 8), 16, 10).cast("double") / F.lit(float(0xFFFFFFFF))
+
+
+def prefixes(key: Column, sep: str = "_") -> Column:
+    """All prefixes of a key that end before a separator, and the key."""
+    parts = F.split(key, sep)
+    return F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), sep))

@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict = {}
+from cartolith.plans import reports, spatial
+
+QUERIES = reports.QUERIES | spatial.QUERIES
+SQL = reports.SQL | spatial.SQL
