@@ -7,7 +7,7 @@ come out at a small Hamming distance. A repetition has its own walk and samples
 equal samples are candidates, which banded edit distance then verifies.
 
 Before that, windows that cannot match are left out without loss: k edits touch at most 2k of an item's w - 1 word
-pairs, so a window within k edits holds at least w - 1 - 2k pairs of neighbours that some item has.
+pairs, so a window within k edits holds at least w - 1 - 2k pairs of neighbours that the item has.
 Items go to the workers in blocks of bounded size; each block is one pass.
 """
 
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from cartolith.llm.words import U64, bare, chunks, constants, mix
 from cartolith.runtime import ship
 
-RATE, REPEATS, SAMPLES, LEAST_WORDS = 0.12, 64, 2, 6
+RATE, REPEATS, SAMPLES, LEAST_WORDS = 0.12, 32, 1, 6
 BLOCK_BYTES = 1 << 23
 TABLE = 22
 
@@ -111,7 +111,14 @@ class Items:
                 seqs[row, : len(self.items[k][1])] = self.items[k][1]
             keys = sample_keys(seqs[:, :steps], repeats, size).reshape(-1)
             order = np.argsort(keys, kind="stable")
-            self.classes.append((steps, sizes, keys[order], np.repeat(np.array(own), repeats)[order]))
+            self.classes.append((steps, frozenset(own), keys[order], np.repeat(np.array(own), repeats)[order]))
+        at = [np.unique(pair_places(self.vocabulary[s])) if len(s) > 1 else np.zeros(0, np.int64) for _, s in self.items]
+        places, names = np.concatenate([*at, np.zeros(0, np.int64)]), np.repeat(np.arange(len(at)), [len(x) for x in at])
+        order = np.argsort(places, kind="stable")
+        #: Items by the places of their pairs: those of places[k] are owners[limits[k]:limits[k + 1]]
+        self.places, first = np.unique(places[order], return_index=True)
+        self.owners, self.limits = names[order], np.append(first, len(places))
+        self.needs = np.array([self.needed(len(s)) for _, s in self.items], np.int64)
         self.least = min((self.needed(len(s)) for _, s in self.items), default=0)
 
     def edits(self, width: int) -> int:
@@ -138,20 +145,40 @@ class Items:
         n, best = len(h), {}
         if not n or not self.items:
             return best
+        # which items' pairs stand where
+        own_places = pair_places(h)
+        where = np.flatnonzero(self.pairs[own_places])
+        k = np.searchsorted(self.places, own_places[where])
+        many = self.limits[k + 1] - self.limits[k]
+        ends = np.cumsum(many)
+        owner = self.owners[np.repeat(self.limits[k] - (ends - many), many) + np.arange(many.sum())]
+        where = np.repeat(where, many)
+        likely = np.flatnonzero(np.bincount(owner, minlength=len(self.items)) >= self.needs)
+        windows: dict[int, np.ndarray] = {}
+        for item in likely.tolist():
+            width = len(self.items[item][1])
+            if n < width - self.edits(width):
+                continue
+            seen = np.zeros(n + 1, np.int64)
+            seen[where[owner == item] + 1] = 1
+            seen = np.cumsum(seen)
+            start = np.arange(n - (width - self.edits(width)) + 1)
+            windows[item] = start[seen[np.minimum(start + width, n) - 1] - seen[start] >= self.needs[item]]
+        windows = {item: start for item, start in windows.items() if len(start)}
+        if not windows:
+            return best
         place = np.minimum(np.searchsorted(self.vocabulary, h), len(self.vocabulary) - 1)
         base = len(self.vocabulary)
         # words outside the vocabulary get numbers of their own, equal only for equal words
         seq = np.where(self.vocabulary[place] == h, place, base + 1 + np.unique(h, return_inverse=True)[1])
-        pairs = np.zeros(n + 1, np.int64)
-        pairs[1:n] = np.cumsum(self.pairs[pair_places(h)])
-        pairs[n] = pairs[n - 1]
-        for steps, sizes, sorted_keys, own in self.classes:
-            may = np.zeros(n, bool)
-            for width in sizes:
-                k = self.edits(width)
-                if n >= width - k and pairs[n] >= self.needed(width):
-                    start = np.arange(n - (width - k) + 1)
-                    may[start[pairs[np.minimum(start + width, n) - 1] - pairs[start] >= self.needed(width)]] = True
+        for steps, members, sorted_keys, own in self.classes:
+            if not windows.keys() & members:
+                continue
+            may, valid = np.zeros(n, bool), {}
+            for item in windows.keys() & members:
+                valid[item] = np.zeros(n, bool)
+                valid[item][windows[item]] = True
+                may |= valid[item]
             start = np.flatnonzero(may)
             padded = np.concatenate([seq, np.full(steps, base)])
             found = set()
@@ -161,7 +188,7 @@ class Items:
                 left = np.searchsorted(sorted_keys, keys, side="left")
                 right = np.searchsorted(sorted_keys, keys, side="right")
                 for x, r in zip(*np.nonzero(right > left), strict=True):
-                    found.update((int(item), int(at[x])) for item in own[left[x, r] : right[x, r]])
+                    found.update((item, int(at[x])) for item in own[left[x, r] : right[x, r]].tolist() if item in valid and valid[item][at[x]])
             by_item: dict[int, list[int]] = {}
             for item, at in sorted(found):
                 by_item.setdefault(item, []).append(at)
