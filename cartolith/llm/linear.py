@@ -8,6 +8,7 @@ Features are made on the executors; a model is fitted on the driver from a bound
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -109,7 +110,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", t
     usable = F.lit(True) if usable is None else usable
     rows = _texts(docs, _labelled(labels, id_col, label_col, usable), id_col, text_col, max_train)
     rows = rows.mapInArrow(lambda it: _sparse(it, quality_features), f"id {dict(rows.dtypes)['id']}, y int, x binary, n binary").collect()
-    rows.sort(key=lambda r: int(mix(np.array([hash(r["id"]) & (2**63 - 1)], U64))[0]))
+    rows.sort(key=lambda r: (zlib.crc32(str(r["id"]).encode()), str(r["id"])))
     return ftrl([(r["y"], np.frombuffer(r["x"], "<u4").astype(np.int64), np.frombuffer(r["n"], "<u2").astype(float)) for r in rows], 1 << BITS, scale=SCALE)
 
 
