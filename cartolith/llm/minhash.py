@@ -12,7 +12,10 @@ the full sets, and components follow. Buckets that still hold several components
 drawn by a hash, whose exact distances to the members both link and are kept. What is then left is compared in pairs
 of different components, without those that cannot be linked: 1 - similarity is a metric, so two members whose
 distances to any hub differ by more than the limit are too far apart. A pair whose signatures differ in more than
-ERRORS symbols is no candidate. No component of candidates can be missed.
+ERRORS symbols is no candidate. Nor is one whose odd sketches differ in more places than the sets of a linked pair
+can: bit i of a sketch of 1024 bits is the parity of the set's elements dealt to i, so that a differing bit needs an
+element that only one of the sets has. That bound is exact, and near to the true difference for sets of up to some
+thousand shingles; for longer ones it lets more pairs through. No component of candidates can be missed.
 """
 
 from __future__ import annotations
@@ -118,10 +121,27 @@ def _sets(batches):
         for c in chunks(b.column(1)):
             sets = [s.view(np.int64) for s in shingle_sets(c)]
             offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([b.column(0).slice(c.rows.start, len(sets)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets)))], ["id", "s"])
+            odd = np.stack([odd_sketch(s.view(U64)) for s in sets])
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0).slice(c.rows.start, len(sets)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets))), *(pa.array(np.ascontiguousarray(odd[:, k])) for k in range(len(SKETCH)))],
+                ["id", "s", *SKETCH],
+            )
+
+
+def odd_sketch(s: np.ndarray) -> np.ndarray:
+    """The parities of how many elements of s are dealt to each of 1024 places, as numbers of 64 bits."""
+    odd = np.bincount((mix(s ^ U64(46)) & U64(64 * len(SKETCH) - 1)).astype(np.int64), minlength=64 * len(SKETCH)) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
+def too_far(a: str, b: str, n_a: Column, n_b: Column, percent: int) -> Column:
+    """The sketches with these suffixes differ in more places than a linked pair of sets of these sizes can."""
+    differ = sum((F.bit_count(F.col(f"{q}{a}").bitwiseXOR(F.col(f"{q}{b}"))).cast("int") for q in SKETCH), F.lit(0))
+    return differ * F.lit(100 + percent) > F.lit(100 - percent) * (n_a + n_b)
 
 
 LANES = [f"w{k}" for k in range(SYMBOLS // 4)]
+SKETCH = [f"q{k}" for k in range(16)]
 
 
 def _words(batches):
@@ -157,7 +177,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _merged(rows: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
     """rows (key, id, n, c, ds) under the components that links between their components give, and that map."""
     comp = materialize(connected_components(links).select(F.col("node").alias("c"), F.col("component").alias("c2")))
-    rows = rows.join(comp, "c", "left").select("key", "id", "n", F.coalesce("c2", "c").alias("c"), "ds", *LANES)
+    rows = rows.join(comp, "c", "left").select("key", "id", "n", F.coalesce("c2", "c").alias("c"), "ds", *LANES, *SKETCH)
     return materialize(_mixed(materialize(rows))), comp
 
 
@@ -185,16 +205,16 @@ def near_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     members = materialize(keys.join(hubs, "key"))
     involved = materialize(members.select("id").distinct())
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(involved, "id").dropDuplicates(["id"])
-    sets = materialize(texts.mapInArrow(_sets, f"id {kind}, s array<long>"))
+    sets = materialize(texts.mapInArrow(_sets, f"id {kind}, s array<long>, " + ", ".join(f"{q} long" for q in SKETCH)))
     size = reps.select(F.col("id").alias("hub"), F.col("n").alias("hub_n"))
     stars = members.where("id <> hub").groupBy("hub", "id").agg(F.first("n").alias("n")).join(size, "hub")
     stars = materialize(stars.where(_near(F.col("n"), F.col("hub_n"), percent)).select(F.col("hub").alias("a"), F.col("id").alias("b")))
     links = materialize(confirmed(stars, sets, percent))
     comp = materialize(connected_components(links))
     # buckets that still hold several components
-    sg = materialize(reps.select("id", "sig").mapInArrow(_words, f"id {kind}, " + ", ".join(f"{w} long" for w in LANES)).join(involved, "id"))
+    sg = materialize(reps.select("id", "sig").mapInArrow(_words, f"id {kind}, " + ", ".join(f"{w} long" for w in LANES)).join(sets.select("id", *SKETCH), "id"))
     named = members.join(sg, "id").join(comp.select(F.col("node").alias("id"), F.col("component")), "id", "left")
-    named = named.select("key", "id", "n", F.coalesce("component", "id").alias("c"), F.array().cast("array<double>").alias("ds"), *LANES)
+    named = named.select("key", "id", "n", F.coalesce("component", "id").alias("c"), F.array().cast("array<double>").alias("ds"), *LANES, *SKETCH)
     left = materialize(_mixed(materialize(named)))
     maps = []
     for k in range(rounds):
@@ -205,14 +225,14 @@ def near_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         far = distances(with_hub.where("hub <> id").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), sets)
         far = materialize(far.select("a", "b", _linked(F.col("n_a"), F.col("n_b"), F.col("common"), percent).alias("ok"), (1 - F.col("common") / (F.col("n_a") + F.col("n_b") - F.col("common"))).alias("d")))
         known = materialize(with_hub).join(far, (F.col("hub") == F.col("a")) & (F.col("id") == F.col("b")), "left")
-        known = materialize(known.select("key", "id", "n", "c", F.concat("ds", F.array(F.coalesce("d", F.lit(0.0)))).alias("ds"), *LANES))
+        known = materialize(known.select("key", "id", "n", "c", F.concat("ds", F.array(F.coalesce("d", F.lit(0.0)))).alias("ds"), *LANES, *SKETCH))
         place = materialize(known.select("id", "c").distinct())
         links = far.where("ok").join(place.select(F.col("id").alias("a"), F.col("c").alias("c_a")), "a").join(place.select(F.col("id").alias("b"), F.col("c").alias("c_b")), "b")
         left, comp_of = _merged(known, materialize(links.where("c_a <> c_b").select(F.col("c_a").alias("a"), F.col("c_b").alias("b")).distinct()))
         maps.append(comp_of)
-    a, b = left.select("key", *[F.col(x).alias(f"{x}_a") for x in ("id", "n", "c", "ds", *LANES)]), left.select("key", *[F.col(x).alias(f"{x}_b") for x in ("id", "n", "c", "ds", *LANES)])
+    a, b = left.select("key", *[F.col(x).alias(f"{x}_a") for x in ("id", "n", "c", "ds", *LANES, *SKETCH)]), left.select("key", *[F.col(x).alias(f"{x}_b") for x in ("id", "n", "c", "ds", *LANES, *SKETCH)])
     apart = F.exists(F.zip_with("ds_a", "ds_b", lambda x, y: F.abs(x - y)), lambda x: x > 1 - percent / 100 + 1e-9)
-    more = a.join(b, "key").where((F.col("id_a") < F.col("id_b")) & (F.col("c_a") != F.col("c_b")) & _near(F.col("n_a"), F.col("n_b"), percent) & (sum((lane_errors(F.col(f"{w}_a"), F.col(f"{w}_b")) for w in LANES), F.lit(0)) <= ERRORS) & ~apart)
+    more = a.join(b, "key").where((F.col("id_a") < F.col("id_b")) & (F.col("c_a") != F.col("c_b")) & _near(F.col("n_a"), F.col("n_b"), percent) & (sum((lane_errors(F.col(f"{w}_a"), F.col(f"{w}_b")) for w in LANES), F.lit(0)) <= ERRORS) & ~too_far("_a", "_b", F.col("n_a"), F.col("n_b"), percent) & ~apart)
     more = materialize(more.groupBy(F.col("id_a").alias("a"), F.col("id_b").alias("b")).agg(F.first("c_a").alias("c_a"), F.first("c_b").alias("c_b")))
     extra = confirmed(more, sets, percent).join(more, ["a", "b"]).select(F.col("c_a").alias("a"), F.col("c_b").alias("b"))
     maps.append(materialize(connected_components(extra.distinct()).select(F.col("node").alias("c"), F.col("component").alias("c2"))))

@@ -273,3 +273,20 @@ def test_pipeline(spark):
         assert d.columns == ["doc_id", "text", "lang", "source", "n_chars"] and 0 < d.count() <= before, name
     kept = {r.doc_id for r in d.collect()}
     assert {r.doc_id for r in p.run(spark, FOLDER).collect()} == kept
+
+
+def test_odd_sketch_never_parts_linked_sets():
+    import random
+
+    import numpy as np
+
+    from cartolith.llm.minhash import odd_sketch
+
+    draw = random.Random(5)
+    for n in (1, 3, 40, 400, 4000):
+        for _ in range(30):
+            a = {draw.getrandbits(63) for _ in range(n)}
+            b = set(list(a)[draw.randint(0, n) :]) | {draw.getrandbits(63) for _ in range(draw.randint(0, n))}
+            x, y = (odd_sketch(np.array(sorted(s), np.uint64)) for s in (a, b))
+            assert sum(int(v).bit_count() for v in (x ^ y).view(np.uint64)) <= len(a ^ b)
+    assert not odd_sketch(np.zeros(0, np.uint64)).any()
