@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cartolith.plans import reports, spatial
+from cartolith.plans import reports, rules, spatial
 
-QUERIES = reports.QUERIES | spatial.QUERIES
-SQL = reports.SQL | spatial.SQL
+QUERIES = reports.QUERIES | rules.QUERIES | spatial.QUERIES
+SQL = reports.SQL | rules.SQL | spatial.SQL
