@@ -46,3 +46,31 @@ def prefixes(key: Column, sep: str = "_") -> Column:
     """All prefixes of a key that end before a separator, and the key."""
     parts = F.split(key, sep)
     return F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), sep))
+
+
+# How Cyrillic letters are spelt; hard and soft signs go, and capitals that are not listed separate.
+LETTERS = ("ГАКНЛМСЭВБабвгдезийклмнопрстуфхцыэьъ", "gaknlmsevbabvgdeziyklmnoprstufhcye")
+SPELT = {"ж": "zh", "ч": "ch", "ш": "sh", "щ": "sch", "ю": "yu", "я": "ya"}
+
+
+def cyrillic_slug(name: Column) -> Column:
+    for letter, spelt in SPELT.items():
+        name = F.replace(name, F.lit(letter), F.lit(spelt))
+    s = F.trim(F.lit("_"), F.regexp_replace(F.lower(F.translate(name, *LETTERS)), "[^a-z0-9]+", "_"))
+    return F.coalesce(F.nullif(s, F.lit("")), F.when(s == "", F.lit("region")))
+
+
+def mended(s: Column) -> Column:
+    """Text whose UTF-8 was read as Latin-1, as it should have been; any other text as it is."""
+    narrow = F.when(~s.rlike(r"[^\x{00}-\x{FF}]"), s)
+    return F.coalesce(F.try_validate_utf8(F.encode(narrow, "ISO-8859-1").cast("string")), s)
+
+
+def province_noun(n: Column) -> Column:
+    return F.when(n == 1, "провинция").when(n.between(2, 4), "провинции").otherwise("провинций")
+
+
+def tile_key(key: Column) -> list[Column]:
+    """layer, z, x and y of a key layer|z/x/y."""
+    rest = F.split(F.substring_index(key, "|", -1), "/")
+    return [F.substring_index(key, "|", 1).cast("int"), *[rest[k].cast("int") for k in range(3)]]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cartolith.plans import reports, rules, spatial
+from cartolith.plans import growth, reports, rules, spatial
 
-QUERIES = reports.QUERIES | rules.QUERIES | spatial.QUERIES
-SQL = reports.SQL | rules.SQL | spatial.SQL
+QUERIES = reports.QUERIES | rules.QUERIES | spatial.QUERIES | growth.QUERIES
+SQL = reports.SQL | rules.SQL | spatial.SQL | growth.SQL
