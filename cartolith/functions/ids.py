@@ -56,8 +56,8 @@ SPELT = {"ж": "zh", "ч": "ch", "ш": "sh", "щ": "sch", "ю": "yu", "я": "ya"
 def cyrillic_slug(name: Column) -> Column:
     for letter, spelt in SPELT.items():
         name = F.replace(name, F.lit(letter), F.lit(spelt))
-    s = F.trim(F.lit("_"), F.regexp_replace(F.lower(F.translate(name, *LETTERS)), "[^a-z0-9]+", "_"))
-    return F.coalesce(F.nullif(s, F.lit("")), F.when(s == "", F.lit("region")))
+    s = F.trim(F.regexp_replace(F.lower(F.translate(name, *LETTERS)), "[^a-z0-9]+", "_"), F.lit("_"))
+    return F.when(s == "", F.lit("region")).otherwise(s)
 
 
 def mended(s: Column) -> Column:
