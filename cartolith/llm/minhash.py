@@ -5,7 +5,8 @@ the set; only one row of each class goes on. A signature has 64 symbols of 16 bi
 split into 12 chunks, so that two signatures that differ in at most 23 symbols have a chunk with at most one
 difference (pigeonhole); all ways of one error in a chunk are enumerated as keys with that symbol left out, 64 keys
 a row. At similarity 0.85 the number of differing symbols is binomial (64, 0.15), so 24 or more have a chance of
-about one in a million. Every pair at or under the distance shares a key.
+about one in a million. Every pair at or under the distance shares a key. For another similarity the number of
+chunks, and with it the distance, follows from the same chance of a miss (parts_for).
 
 Pairs inside a bucket are not all made: each member is compared with the bucket's smallest id, links are confirmed on
 the full sets, and components follow. Buckets that still hold several components go through ROUNDS more hubs, each
@@ -20,6 +21,9 @@ thousand shingles; for longer ones it lets more pairs through. No component of c
 
 from __future__ import annotations
 
+from functools import partial
+from math import comb
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -33,10 +37,26 @@ SHINGLE, SYMBOLS, CHUNKS = 5, 64, 12
 ERRORS = 2 * CHUNKS - 1
 PERCENT = 85
 ROUNDS = 2
+#: The largest chance that two signatures of a linked pair differ in more symbols than the keys allow for
+MISS = 9e-6
 _FACTORS = constants(SYMBOLS, 41)
 _KEY = constants(SYMBOLS, 42)
 
 
+def miss(percent: int, parts: int) -> float:
+    """The chance that a pair at this similarity differs in 2 * parts symbols or more."""
+    p = 1 - percent / 100
+    return sum(comb(SYMBOLS, k) * p**k * (1 - p) ** (SYMBOLS - k) for k in range(2 * parts, SYMBOLS + 1))
+
+
+def parts_for(percent: int) -> int:
+    """The least number of chunks at which miss() is within MISS: CHUNKS at PERCENT; chunks keep two symbols or more."""
+    for parts in range(1, SYMBOLS // 2 + 1):
+        if miss(percent, parts) <= MISS:
+            return parts
+    raise ValueError(f"{SYMBOLS} symbols are too few for a similarity of {percent} %")
+
+
 def chunk_limits(symbols: int = SYMBOLS, parts: int = CHUNKS) -> list[tuple[int, int]]:
     ends = [round(symbols * k / parts) for k in range(parts + 1)]
     return list(zip(ends, ends[1:], strict=False))
@@ -73,12 +93,12 @@ def mix_light(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(32))
 
 
-def row_keys(sig: np.ndarray) -> np.ndarray:
+def row_keys(sig: np.ndarray, chunk_count: int = CHUNKS) -> np.ndarray:
     """SYMBOLS keys for each signature: its chunks, each with one symbol left out."""
     parts = (sig.astype(U64) + U64(1)) * _KEY
     parts = mix(parts)
     out = np.empty(sig.shape, U64)
-    for k, (a, b) in enumerate(chunk_limits()):
+    for k, (a, b) in enumerate(chunk_limits(parts=chunk_count)):
         total = parts[:, a:b].sum(1, dtype=U64)
         for j in range(a, b):
             out[:, j] = mix(total - parts[:, j] + U64(1000 * k + j + 1))
@@ -107,13 +127,13 @@ def profiles(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, n long, s1 long, s2 long, sig binary")
 
 
-def _keys(batches):
+def _keys(batches, chunk_count: int = CHUNKS):
     for b in batches:
         if not b.num_rows:
             continue
         sig = np.frombuffer(b"".join(b.column("sig").to_pylist()), "<u2").reshape(-1, SYMBOLS)
         take = pa.array(np.repeat(np.arange(b.num_rows), SYMBOLS))
-        yield pa.RecordBatch.from_arrays([pa.array(row_keys(sig).reshape(-1).view(np.int64)), b.column("id").take(take), b.column("n").take(take)], ["key", "id", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(row_keys(sig, chunk_count).reshape(-1).view(np.int64)), b.column("id").take(take), b.column("n").take(take)], ["key", "id", "n"])
 
 
 def _sets(batches):
@@ -192,6 +212,8 @@ def near_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     component_id is the smallest id reachable over links, itself included. Empty sets are linked with nothing. Rows
     that share an id are one node; a row with a null id is its own component and kept.
     """
+    parts = parts_for(percent)
+    errors = 2 * parts - 1
     rows = materialize(profiles(docs, id_col, text_col))
     full = rows.where("id is not null and n > 0")
     # one row for each distinct set; the signature follows from the set
@@ -199,7 +221,7 @@ def near_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     reps = full.join(classes.select(F.col("rep").alias("id"), "n", "s1", "s2"), ["id", "n", "s1", "s2"]).dropDuplicates(["id", "n", "s1", "s2"])
     reps = materialize(reps.select("id", "n", "sig"))
     kind = dict(docs.dtypes)[id_col]
-    keys = reps.select("id", "n", "sig").mapInArrow(_keys, f"key long, id {kind}, n long")
+    keys = reps.select("id", "n", "sig").mapInArrow(partial(_keys, chunk_count=parts), f"key long, id {kind}, n long")
     hubs = keys.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub < last").select("key", "hub")
     hubs = materialize(hubs)
     members = materialize(keys.join(hubs, "key"))
@@ -232,7 +254,7 @@ def near_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         maps.append(comp_of)
     a, b = left.select("key", *[F.col(x).alias(f"{x}_a") for x in ("id", "n", "c", "ds", *LANES, *SKETCH)]), left.select("key", *[F.col(x).alias(f"{x}_b") for x in ("id", "n", "c", "ds", *LANES, *SKETCH)])
     apart = F.exists(F.zip_with("ds_a", "ds_b", lambda x, y: F.abs(x - y)), lambda x: x > 1 - percent / 100 + 1e-9)
-    more = a.join(b, "key").where((F.col("id_a") < F.col("id_b")) & (F.col("c_a") != F.col("c_b")) & _near(F.col("n_a"), F.col("n_b"), percent) & (sum((lane_errors(F.col(f"{w}_a"), F.col(f"{w}_b")) for w in LANES), F.lit(0)) <= ERRORS) & ~too_far("_a", "_b", F.col("n_a"), F.col("n_b"), percent) & ~apart)
+    more = a.join(b, "key").where((F.col("id_a") < F.col("id_b")) & (F.col("c_a") != F.col("c_b")) & _near(F.col("n_a"), F.col("n_b"), percent) & (sum((lane_errors(F.col(f"{w}_a"), F.col(f"{w}_b")) for w in LANES), F.lit(0)) <= errors) & ~too_far("_a", "_b", F.col("n_a"), F.col("n_b"), percent) & ~apart)
     more = materialize(more.groupBy(F.col("id_a").alias("a"), F.col("id_b").alias("b")).agg(F.first("c_a").alias("c_a"), F.first("c_b").alias("c_b")))
     extra = confirmed(more, sets, percent).join(more, ["a", "b"]).select(F.col("c_a").alias("a"), F.col("c_b").alias("b"))
     maps.append(materialize(connected_components(extra.distinct()).select(F.col("node").alias("c"), F.col("component").alias("c2"))))

@@ -21,8 +21,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first of each group of near duplicates."""
-    return minhash.drop_near(docs)
+    """The first of each group of near duplicates: shingle sets with a similarity of 0.8 or more."""
+    return minhash.drop_near(docs, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -290,3 +290,35 @@ def test_odd_sketch_never_parts_linked_sets():
             x, y = (odd_sketch(np.array(sorted(s), np.uint64)) for s in (a, b))
             assert sum(int(v).bit_count() for v in (x ^ y).view(np.uint64)) <= len(a ^ b)
     assert not odd_sketch(np.zeros(0, np.uint64)).any()
+
+
+def test_pipeline_drops_pairs_at_080(spark):
+    """The pipeline's near-dedup takes a similarity of 0.8 or more; op1's own threshold stays 0.85."""
+    import corpus_pipeline as p
+
+    base = [f"w{k}" for k in range(204)]
+    rows = []
+    for k, changed in enumerate((0, 4, 5)):  # 180 of 220 shingles shared: 0.818; 175 of 225: 0.778
+        w = [f"{k // 2}{x}" for x in base]
+        for j in range(changed):
+            w[20 + 30 * j] = f"new{k}-{j}"
+        rows.append((k, " ".join(w)))
+    far = [f"{x}b" for x in base]
+    rows += [(10, " ".join(far)), (11, " ".join("other" if k in (20, 50, 80, 110, 140) else x for k, x in enumerate(far)))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in p.near_dedup(spark, frame, FOLDER).collect()) == [0, 2, 10, 11]
+    assert [i for i, (_, c) in minhash.brute_force(rows, 80).items() if i == c] == [0, 2, 10, 11]
+    assert [i for i, (_, c) in minhash.brute_force(rows).items() if i == c] == [0, 1, 2, 10, 11]
+
+
+def test_chunks_follow_percent():
+    """At every threshold linked pairs share a key as surely as at op1's; signatures within the distance always do."""
+    assert minhash.parts_for(minhash.PERCENT) == minhash.CHUNKS
+    parts = minhash.parts_for(80)
+    assert minhash.miss(80, parts) <= minhash.miss(minhash.PERCENT, minhash.CHUNKS) < minhash.miss(80, parts - 1)
+    rng = np.random.default_rng(4)
+    a = rng.integers(0, 1 << 16, (300, minhash.SYMBOLS)).astype(np.uint16)
+    b = a.copy()
+    for row in b:
+        row[rng.choice(minhash.SYMBOLS, 2 * parts - 1, replace=False)] ^= 1
+    assert (minhash.row_keys(a, parts) == minhash.row_keys(b, parts)).any(1).all()
