@@ -101,6 +101,12 @@ def components(spark, d):
     return graph.connected_components(e)
 
 
+def components_all(spark, d):
+    """GR-01 over every order and part that share a line; components is a part of it that recursive SQL can check."""
+    e = table(spark, d, "lineitem").select(F.concat(F.lit("o"), "l_orderkey").alias("a"), F.concat(F.lit("p"), "l_partkey").alias("b"))
+    return graph.connected_components(e)
+
+
 def dense_labels(spark, d):
     from pyspark.sql import Window
 
@@ -108,7 +114,7 @@ def dense_labels(spark, d):
     return p.select("p_size", F.dense_rank().over(Window.orderBy("p_size")).alias("label"))
 
 
-QUERIES = {f.__name__: f for f in (pip_holes, nearest_within, box_overlap, square_shapes, dissolve_outline, edge_adjacency, majority3x3, dilate8, raster_borders, arrival_owner, tile_pyramid_missing, components, dense_labels)}
+QUERIES = {f.__name__: f for f in (pip_holes, nearest_within, box_overlap, square_shapes, dissolve_outline, edge_adjacency, majority3x3, dilate8, raster_borders, arrival_owner, tile_pyramid_missing, components, components_all, dense_labels)}
 
 _P = "p as (select c_custkey as id, (c_custkey * 7919 % 8192)::double as x, (c_custkey * 104729 % 8192)::double as y from customer)"
 _S = "s as (select s_suppkey as id, (s_suppkey * 6211 % 8192)::double as x, (s_suppkey * 50021 % 8192)::double as y from supplier)"
