@@ -1,7 +1,7 @@
 """Benchmark passages in documents: CGK embedding, bit-sampling LSH, exact edit distance, all over words.
 
-Texts become words between white space, without marks at either end and lower-cased (A-Z). For each item of w words every window of w words of a document is compared by
-word edit distance; a window matches within max_edits(w) edits. The CGK walk reads a word sequence and, at each of 3w
+Texts become words between white space, without marks at either end and lower-cased (A-Z). For each item of w words every window of w - k to w + k words of a document,
+k = max_edits(w), is compared by word edit distance; a window matches within k edits. The CGK walk reads a word sequence and, at each of 3w
 steps, copies the current word and moves on or not by a random bit of (step, word): sequences at a small edit distance
 come out at a small Hamming distance. A repetition has its own walk and samples a few steps; windows and items with
 equal samples are candidates, which banded edit distance then verifies.
@@ -63,6 +63,36 @@ def within(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
     return old[-1] if old[-1] <= most else None
 
 
+def closest_end(text: list, item: list, most: int) -> tuple[int, int] | None:
+    """(edits, width) of the prefix of text that is closest to item, if within most edits.
+
+    Of equally close prefixes the one nearest to the item's width counts, then the shorter one.
+    """
+    n, width, far = len(text), len(item), most + 1
+    if n < width - most:
+        return None
+    old = [min(j, far) for j in range(n + 1)]
+    for i in range(1, width + 1):
+        new = [far] * (n + 1)
+        if i <= most:
+            new[0] = i
+        low = new[0]
+        for j in range(max(1, i - most), min(n, i + most) + 1):
+            d = old[j - 1] + (item[i - 1] != text[j - 1])
+            if old[j] < d:
+                d = old[j] + 1
+            if new[j - 1] < d:
+                d = new[j - 1] + 1
+            if d < far:
+                new[j] = d
+                low = min(low, d)
+        if low >= far:
+            return None
+        old = new
+    d, _, end = min((old[j], abs(j - width), j) for j in range(max(0, width - most), min(n, width + most) + 1))
+    return (d, end) if d <= most else None
+
+
 def sample_keys(seqs: np.ndarray, repeats: int, size: int) -> np.ndarray:
     """One key for each row and repetition: sampled steps of that repetition's CGK embedding.
 
@@ -163,7 +193,7 @@ class Items:
             seen[where[owner == item] + 1] = 1
             seen = np.cumsum(seen)
             start = np.arange(n - (width - self.edits(width)) + 1)
-            windows[item] = start[seen[np.minimum(start + width, n) - 1] - seen[start] >= self.needs[item]]
+            windows[item] = start[seen[np.minimum(start + width + self.edits(width), n) - 1] - seen[start] >= self.needs[item]]
         windows = {item: start for item, start in windows.items() if len(start)}
         if not windows:
             return best
@@ -201,10 +231,10 @@ class Items:
                     continue
                 words, most = words.tolist(), self.edits(width)
                 for p in starts if most else ():
-                    d = within(seq[p : p + width].tolist(), words, most)
-                    if d is not None and (name not in best or (d, p) < best[name][:2]):
-                        best[name] = (d, p, width)
-                        most = d
+                    end = closest_end(seq[p : p + width + most].tolist(), words, most)
+                    if end is not None and (name not in best or (end[0], p) < best[name][:2]):
+                        best[name] = (end[0], p, end[1])
+                        most = end[0]
         return best
 
 
@@ -225,7 +255,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id",
     """(id, item_id, edits, first_word, n_words): for each row and item it holds, the closest window.
 
     Null and empty texts and items hold and match nothing. An item of fewer than LEAST_WORDS words must stand exactly.
-    Windows shorter than the item by its allowed edits count at the end of a text. Items whose words repeat match each.
+    Windows may be longer or shorter than the item by its allowed edits. Items whose words repeat match each.
     """
     spark = docs.sparkSession
     ship(spark)

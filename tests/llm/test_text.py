@@ -232,6 +232,48 @@ def test_leaks(spark, docs, empty):
     assert decontaminate.find_leaks(docs, bench.limit(0)).collect() == []
 
 
+def edited(rng, w, edits, kind):
+    """w with so many edits at different places inside it."""
+    out = list(w)
+    for j in sorted(rng.sample(range(1, len(w) - 1), edits), reverse=True):
+        how = rng.choice(("replace", "insert", "drop")) if kind == "mixed" else kind
+        out[j : j + (how != "insert")] = [] if how == "drop" else [f"zz{rng.random()}"]
+    return out
+
+
+@pytest.mark.parametrize("kind", ["replace", "insert", "drop", "mixed"])
+def test_leaks_recall_by_kind_of_edit(kind):
+    """Inserted and dropped words cost one edit each, as replaced ones do."""
+    rng = random.Random(11)
+    items = [(k, words(rng, rng.randint(15, 60))) for k in range(60)]
+    block = decontaminate.Items(items, decontaminate.RATE, decontaminate.REPEATS, decontaminate.SAMPLES)
+    found = tried = 0
+    for k, t in items:
+        w = t.split(" ")
+        for edits in range(1, decontaminate.max_edits(len(w)) + 1):
+            text = " ".join([words(rng, 30), *edited(rng, w, edits, kind), words(rng, 30)])
+            rows = dict(block.rows(pa.array([text])))
+            assert all(m[0] <= edits for m in rows.get(0, {}).values())
+            found, tried = found + (k in rows.get(0, {})), tried + 1
+    print(kind, found, tried)
+    assert found >= 0.9 * tried, (found, tried)
+
+
+def test_closest_end():
+    text = [1, 2, 9, 3, 4, 5, 6, 7]
+    assert decontaminate.closest_end(text, [1, 2, 3, 4, 5], 1) == (1, 6)
+    assert decontaminate.closest_end(text, [1, 2, 8, 9, 3, 4], 1) == (1, 5)
+    assert decontaminate.closest_end(text, [1, 2, 9, 3, 8], 1) == (1, 5)
+    assert decontaminate.closest_end(text, [1, 2, 3, 5, 6], 1) is None and decontaminate.closest_end([], [], 0) == (0, 0)
+    rng = random.Random(3)
+    for _ in range(400):
+        a, b = ([rng.randrange(3) for _ in range(rng.randint(0, 9))] for _ in range(2))
+        most = rng.randint(0, 3)
+        ways = [(d, abs(e - len(b)), e) for e in range(len(a) + 1) if (d := decontaminate.within(a[:e], b, most)) is not None]
+        got = decontaminate.closest_end(a, b, most)
+        assert got == ((min(ways)[0], min(ways)[2]) if ways else None)
+
+
 def test_edit_distance():
     assert decontaminate.within([1, 2, 3, 4], [1, 3, 4], 1) == 1 and decontaminate.within([1, 2], [2, 1], 1) is None
     assert decontaminate.within([], [], 0) == 0 and decontaminate.within([1, 2, 3], [4, 5, 6], 3) == 3
