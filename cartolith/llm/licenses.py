@@ -1,8 +1,9 @@
 """Licence detection by ordered signature rules; built-in expressions only.
 
 A text is lower-cased (A-Z), cut into words and joined by single spaces. Rules are regexes over that form, each with a
-keyword, a label and a priority (smaller is stronger). Rows without any keyword are done after a substring search.
-For others only rules whose keyword is present run, all their matches become word intervals, and overlaps are
+keyword or several, a label and a priority (smaller is stronger). Every match of a rule holds one of its keywords, so
+rows without any keyword are done after a substring search.
+For others only rules with a keyword that is present run, all their matches become word intervals, and overlaps are
 resolved: an interval inside another one goes, of equal ones the stronger stays, and of two that cross the weaker
 goes. Plain phrases are places of their own that nothing suppresses.
 """
@@ -23,20 +24,24 @@ PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general publi
 
 @dataclass(frozen=True)
 class Rule:
-    keyword: str
+    keyword: str  # or several, with | between: any one of them activates the rule
     label: str
     priority: int
     pattern: str
-    gate: str = ""  # a substring that texts with a match have; the keyword's longest word where empty
+    gate: str = ""  # a substring that texts with a match have; the longest word of each keyword where empty
 
     @property
-    def needs(self) -> str:
-        return self.gate or max(self.keyword.split(" "), key=len)
+    def keywords(self) -> list[str]:
+        return self.keyword.split("|")
+
+    @property
+    def needs(self) -> set[str]:
+        return {self.gate} if self.gate else {max(k.split(" "), key=len) for k in self.keywords}
 
 
 #: Label, keyword, how the licence is called (regex over words), its SPDX id as words.
 FAMILIES = (
-    ("mit", "mit", "mit|expat", "mit"),
+    ("mit", "mit|expat", "mit|expat", "mit"),
     ("mit-0", "mit", "mit no attribution|mit 0", "mit 0"),
     ("apache-2.0", "apache", "apache(?: software)? license,? (?:version |v )?2(?: 0)?|apache 2(?: 0)?", "apache 2 0"),
     ("apache-1.1", "apache", "apache(?: software)? license (?:version |v )?1 1", "apache 1 1"),
@@ -68,10 +73,10 @@ FAMILIES = (
     ("sspl-1.0", "server side", "server side public license(?: (?:version |v )?1)?", "sspl 1 0"),
     ("elastic-2.0", "elastic", "elastic license(?: (?:version |v )?2(?: 0)?)?", "elastic 2 0"),
     ("unlicense", "unlicense", "unlicense", "unlicense"),
-    ("wtfpl", "wtfpl", "wtfpl|do what the fuck you want to public license", "wtfpl"),
+    ("wtfpl", "wtfpl|fuck you want", "wtfpl|do what the fuck you want to public license", "wtfpl"),
     ("zlib", "zlib", "zlib(?: libpng)?", "zlib"),
     ("libpng", "libpng", "libpng", "libpng(?: 2 0)?"),
-    ("psf-2.0", "python", "python software foundation license(?: (?:version )?2)?|psf license", "psf 2 0"),
+    ("psf-2.0", "python|psf", "python software foundation license(?: (?:version )?2)?|psf license", "psf 2 0"),
     ("postgresql", "postgresql", "postgresql license", "postgresql"),
     ("openssl", "openssl", "openssl license", "openssl"),
     ("php-3.01", "php", "php license(?: version 3 01)?", "php 3 01"),
@@ -81,7 +86,7 @@ FAMILIES = (
     ("odbl-1.0", "open database", "open database license(?: (?:version |v )?1(?: 0)?)?", "odbl 1 0"),
     ("odc-by", "attribution license", "open data commons attribution license(?: (?:version |v )?1(?: 0)?)?", "odc by 1 0"),
     ("pddl-1.0", "public domain dedication", "(?:open data commons )?public domain dedication and license", "pddl 1 0"),
-    ("cc0-1.0", "cc0", "cc0(?: 1 0)?(?: universal)?|creative commons zero", "cc0 1 0"),
+    ("cc0-1.0", "cc0|creative commons zero", "cc0(?: 1 0)?(?: universal)?|creative commons zero", "cc0 1 0"),
     ("cc-by", "cc by", "cc by(?: [1-4] [05])?", "cc by [1-4] [05]"),
     ("cc-by-sa", "cc by", "cc by sa(?: [1-4] [05])?", "cc by sa [1-4] [05]"),
     ("cc-by-nc", "cc by", "cc by nc(?: [1-4] [05])?", "cc by nc [1-4] [05]"),
@@ -136,22 +141,23 @@ def rules() -> list[Rule]:
     """Every family in every frame, names that say licence themselves alone, and the sentences: about 370 rules."""
     out = []
     for label, keyword, name, spdx in FAMILIES:
+        everyday = any(k in EVERYDAY for k in keyword.split("|"))
         for p, _, kind, frame in FRAMES:
             pattern = frame.format(name if kind == "name" else spdx)
             if kind == "id":
                 out.append(Rule("spdx", label, p, pattern))
-            elif keyword in EVERYDAY:
+            elif everyday:
                 out.append(Rule(keyword, label, p, pattern + " licen[cs]e" if p == 3 else pattern, "licen"))
             else:
                 out.append(Rule(keyword, label, p, pattern))
-        if keyword not in EVERYDAY and re.search("licen[cs]e|creative", name):
+        if not everyday and re.search("licen[cs]e|creative", name):
             out.append(Rule(keyword, label, 6, name))
     return out + [Rule(k, label, 7, s) for k, label, s in SENTENCES]
 
 
 def _literal(rs: list[Rule]) -> Column:
     edge = lambda p: rf"(?<![^ ])(?:{p})(?![^ ])"
-    return F.array(*(F.struct(F.lit(r.keyword).alias("keyword"), F.lit(r.label).alias("label"), F.lit(r.priority).alias("priority"), F.lit(edge(r.pattern)).alias("pattern")) for r in rs))
+    return F.array(*(F.struct(F.array(*map(F.lit, r.keywords)).alias("keywords"), F.lit(r.label).alias("label"), F.lit(r.priority).alias("priority"), F.lit(edge(r.pattern)).alias("pattern")) for r in rs))
 
 
 def _places(words: Column, pattern: Column) -> Column:
@@ -189,8 +195,8 @@ def scan_licenses(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     strongest surviving rule's certainty (0 without any). Null and empty texts have no words.
     """
     rs = rules() if signature_rules is None else signature_rules
-    keywords = sorted({r.keyword for r in rs})
-    gates = sorted({r.needs for r in rs} | {max(p.split(" "), key=len) for p, _ in phrases})
+    keywords = sorted({k for r in rs for k in r.keywords})
+    gates = sorted(set().union(*(r.needs for r in rs)) | {max(p.split(" "), key=len) for p, _ in phrases})
     d = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
     low = pinned(d, "low", F.lower("t"))
     gate = F.lit(False)
@@ -200,7 +206,7 @@ def scan_licenses(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     d = pinned(d, "words", F.array_join(F.regexp_extract_all(F.translate("t", upper, lower), F.lit(f"({WORD})"), F.lit(1)), " ")).drop("t")
     d = pinned(d, "present", F.filter(F.array(*map(F.lit, keywords)), lambda k: F.contains(F.col("words"), k)))
-    d = pinned(d, "active", F.filter(_literal(rs), lambda r: F.array_contains("present", r["keyword"])))
+    d = pinned(d, "active", F.filter(_literal(rs), lambda r: F.arrays_overlap("present", r["keywords"])))
     found = F.transform("active", lambda r: F.transform(_places(F.col("words"), r["pattern"]), lambda p: F.struct(p["first"].alias("first"), (-p["last"]).alias("back"), r["priority"].alias("priority"), r["label"].alias("label"))))
     d = pinned(d, "found", F.array_sort(F.flatten(found)))
     d = pinned(d, "base", F.flatten(F.array(*(_phrase(F.col("words"), p, label) for p, label in phrases))))

@@ -179,6 +179,23 @@ def test_licenses(spark, empty):
     assert all(got[i].n_words == len(clear.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))) for i, t in enumerate(texts))
 
 
+def shortest(pattern):
+    """A text that a pattern matches, without its optional parts; one for each alternative."""
+    p = re.sub(r"\(\?<![^)]*\)", "", pattern)
+    while (q := re.sub(r"\(\?:[^()]*\)\?|[ ,]\?", "", p)) != p:
+        p = q
+    return [re.sub(r"\[(.)[^]]*\]", r"\1", x) for x in p.split("|")]
+
+
+def test_every_licence_name_alone(spark):
+    """Each alternative of each family is found in a text that holds nothing else."""
+    cases = [(label, f"Licensed under the {x}") for label, _, name, _ in licenses.FAMILIES for x in shortest(name)]
+    assert ("psf-2.0", "Licensed under the psf license") in cases and ("cc0-1.0", "Licensed under the creative commons zero") in cases
+    got = licenses.scan_licenses(spark.createDataFrame([(k, t) for k, (_, t) in enumerate(cases)], "doc_id long, text string")).collect()
+    labels = {r.doc_id: r.labels.split(",") for r in got}
+    assert [c for k, c in enumerate(cases) if c[0] not in labels[k]] == []
+
+
 def plain_chunks(spark, text):
     row = lines.with_chunks(spark.createDataFrame([(text,)], "t string"), lines.F.col("t")).select("chunks").first()
     return [(c.lines, c.body) for c in row.chunks]
