@@ -2,7 +2,8 @@
 
 A row's text is cut at line ends. A rolling hash over the hashes of the last WINDOW lines chooses chunk boundaries
 (where it is 0 modulo PERIOD), so the boundaries move with the content and a passage that was shifted by other lines
-is cut in the same places. Chunks of two lines or more are counted over the whole table by digest; chunks whose digest
+is cut in the same places. Within a run of one repeated line every place is a boundary. Of boundaries that stand side by
+side every other one counts, from the first, so that only a text's last chunk can be a single line. Chunks of two lines or more are counted over the whole table by digest; chunks whose digest
 repeats are compared byte by byte, and all but the first place (smallest id, then position) of equal ones go.
 """
 
@@ -30,12 +31,15 @@ def with_chunks(df: DataFrame, text: Column, window: int = WINDOW, period: int =
         before = F.concat(F.array_repeat(F.lit(0).cast("long"), back), "hashes")
         rolled = F.zip_with(rolled, F.slice(before, 1, F.size("hashes")), lambda a, b: F.xxhash64(a, b))
     df = pinned(df, "rolled", rolled)
-    ends = F.array_compact(F.transform("rolled", lambda h, i: F.when(F.pmod(h, F.lit(period)) == 0, i + 1)))
+    chosen = lambda h, i: (i > 0) & ((F.pmod(h, F.lit(period)) == 0) | (F.get("hashes", i) == F.get("hashes", i - 1)))
+    marks = F.array_join(F.transform("rolled", lambda h, i: F.when(chosen(h, i), F.lit("1")).otherwise(F.lit("0"))), "")
+    df = pinned(df, "marks", F.regexp_extract_all(F.regexp_replace(marks, "11", "10"), F.lit("[01]"), F.lit(0)))
+    ends = F.array_compact(F.transform("marks", lambda m, i: F.when(m == "1", i + 1)))
     df = pinned(df, "ends", F.array_union(ends, F.array(F.size("lines"))))
     df = pinned(df, "begins", F.concat(F.array(F.lit(0)), F.slice("ends", 1, F.size("ends") - 1)))
     body = lambda a, b: F.array_join(F.slice("lines", a + 1, b - a), "\n")
     df = pinned(df, "chunks", F.zip_with("begins", "ends", lambda a, b: F.struct((b - a).alias("lines"), body(a, b).alias("body"))))
-    return df.drop("lines", "hashes", "rolled", "ends", "begins")
+    return df.drop("lines", "hashes", "rolled", "marks", "ends", "begins")
 
 
 def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, period: int = PERIOD, least_lines: int = LEAST_LINES) -> DataFrame:

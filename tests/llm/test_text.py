@@ -224,6 +224,16 @@ def test_lines(spark, docs, empty):
     assert lines.dedup_lines(empty).collect() == [] and lines.dedup_lines(docs).count() == docs.count()
 
 
+def test_lines_no_single_line_chunks(spark):
+    """Inside a text no chunk is a single line, wherever a passage stands; a run of one line is cut into equal pairs."""
+    rng = random.Random(8)
+    for _ in range(5):
+        parts = plain_chunks(spark, "\n".join(words(rng, 6) for _ in range(80)))
+        assert min(n for n, _ in parts[:-1]) >= 2 and sum(n for n, _ in parts) == 80
+    run = plain_chunks(spark, "\n".join(["head one", "head two"] + ["same line here"] * 20 + ["tail one", "tail two"]))
+    assert [b for _, b in run].count("same line here\nsame line here") >= 8
+
+
 def test_leaks(spark, docs, empty):
     rng = random.Random(4)
     items = [(k, words(rng, rng.randint(15, 50))) for k in range(40)] + [(90, None), (91, ""), (92, "odd zebra")]
