@@ -5,7 +5,7 @@ the set; only one row of each class goes on. A signature has 64 symbols of 16 bi
 split into 12 chunks, so that two signatures that differ in at most 23 symbols have a chunk with at most one
 difference (pigeonhole); all ways of one error in a chunk are enumerated as keys with that symbol left out, 64 keys
 a row. At similarity 0.85 the number of differing symbols is binomial (64, 0.15), so 24 or more have a chance of
-about one in a million. Every pair at or under the distance shares a key. For another similarity the number of
+about 9e-6. Every pair at or under the distance shares a key. For another similarity the number of
 chunks, and with it the distance, follows from the same chance of a miss (parts_for).
 
 Pairs inside a bucket are not all made: each member is compared with the bucket's smallest id, links are confirmed on

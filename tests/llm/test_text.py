@@ -391,3 +391,7 @@ def test_chunks_follow_percent():
     for row in b:
         row[rng.choice(minhash.SYMBOLS, 2 * parts - 1, replace=False)] ^= 1
     assert (minhash.row_keys(a, parts) == minhash.row_keys(b, parts)).any(1).all()
+
+
+def test_stated_chance_of_a_miss():
+    assert f"{minhash.miss(85, 12):.0e}" == "9e-06" and "9e-6" in minhash.__doc__
