@@ -284,6 +284,9 @@ def flag_leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id",
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", **named) -> DataFrame:
-    """docs without the rows that hold an item; all columns. Rows without an id stay."""
+    """docs without the rows that hold an item; all columns. Rows without an id stay.
+
+    Rows that share an id are one document here: where one of them goes, all do, whatever their texts.
+    """
     lost = find_leaks(docs, benchmark, id_col=id_col, **named).select(id_col).where(F.col(id_col).isNotNull()).distinct()
     return docs.join(lost, id_col, "left_anti").select(docs.columns)

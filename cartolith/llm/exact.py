@@ -45,6 +45,11 @@ def exact_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_exact(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without the rows that lose to an equal text; all columns. Rows without an id stay."""
-    lost = exact_groups(docs, id_col=id_col, text_col=text_col).where(~F.col("kept") & F.col(id_col).isNotNull()).select(id_col)
-    return docs.join(lost, id_col, "left_anti").select(docs.columns)
+    """docs without the rows that lose to an equal text; all columns. Rows without an id stay.
+
+    A row goes by its id and its text's digest: where one id stands on several texts, only those that lose go.
+    """
+    lost = exact_groups(docs, id_col=id_col, text_col=text_col).where(~F.col("kept") & F.col(id_col).isNotNull())
+    lost = lost.select(F.col(id_col).alias("lost_id"), F.unhex("text_sha256").alias("lost_digest"))
+    digest = F.unhex(F.sha2(F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), SPACES, ""), 256))
+    return docs.join(lost, (F.col(id_col) == F.col("lost_id")) & (digest == F.col("lost_digest")), "left_anti").select(docs.columns)

@@ -279,7 +279,10 @@ def _near(n_a: Column, n_b: Column, percent: int) -> Column:
 
 
 def drop_near(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """docs without the rows that are not the first of their component; all columns. Rows without an id stay."""
+    """docs without the rows that are not the first of their component; all columns. Rows without an id stay.
+
+    Rows that share an id are one document here: where one of them goes, all do, whatever their texts.
+    """
     lost = near_groups(docs, id_col=id_col, text_col=text_col, percent=percent).where(~F.col("kept") & F.col(id_col).isNotNull()).select(id_col)
     return docs.join(lost, id_col, "left_anti").select(docs.columns)
 

@@ -110,6 +110,14 @@ def test_exact(spark, docs, empty):
     assert exact.drop_exact(docs).columns == docs.columns
 
 
+def test_one_id_with_two_texts(spark):
+    """drop_exact takes only the text that loses; drop_leaks takes rows that share an id as one document."""
+    frame = spark.createDataFrame([(1, "same"), (2, " same"), (1, "alone"), (1, None), (None, "same")], "doc_id long, text string")
+    assert sorted(str(r.text) for r in exact.drop_exact(frame).collect()) == [" same", "None", "alone", "same"]
+    bench = spark.createDataFrame([(1, "same")], "item_id long, text string")
+    assert sorted((r.doc_id is None, r.text) for r in decontaminate.drop_leaks(frame, bench).collect()) == [(True, "same")]
+
+
 def test_exact_hot_group(spark):
     rows = spark.range(3000).selectExpr("id as doc_id", "if(id % 3 = 0, ' same ', 'text ' || id) as text")
     got = exact.exact_groups(rows).where("group_size > 1").groupBy("keep_id", "group_size").count().collect()
