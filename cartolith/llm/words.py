@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -17,8 +18,11 @@ CHUNK = 1 << 20
 U64 = np.uint64
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_BASE = 0x9E3779B97F4A7C15 | 1
-_BASE_INV = pow(_BASE, -1, 1 << 64)
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A") : ord("Z") + 1] += 32
+#: Up to this many bytes a word is hashed in blocks side by side with others; a longer one by a digest of its own.
+BLOCKED = 256
+_MASK = np.array([(1 << (8 * k)) - 1 for k in range(9)], dtype=np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -33,26 +37,6 @@ def constants(n: int, seed: int) -> np.ndarray:
     return mix(np.arange(1, n + 1, dtype=U64) * U64(0xD1342543DE82EF95) + U64(seed)) | U64(1)
 
 
-def byte_table(seed: int, lower: bool) -> np.ndarray:
-    t = constants(256, seed)
-    if lower:
-        t[ord("A") : ord("Z") + 1] = t[ord("a") : ord("z") + 1]
-    return t
-
-
-_powers: dict[str, np.ndarray] = {}
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers.get("up", ())) < n:
-        size = max(n, 2 * CHUNK)
-        for name, base in (("up", _BASE), ("down", _BASE_INV)):
-            a = np.full(size, base, dtype=U64)
-            a[0] = 1
-            _powers[name] = np.multiply.accumulate(a)
-    return _powers["up"], _powers["down"]
-
-
 @dataclass
 class Chunk:
     """Some rows of a batch: bytes, the rows' limits in them, word limits and the rows' first words."""
@@ -65,12 +49,27 @@ class Chunk:
     first: np.ndarray
 
     def hashes(self, seed: int = 1, lower: bool = False) -> np.ndarray:
-        """One 64-bit hash for each word."""
-        up, down = powers(len(self.data) + 1)
-        total = np.zeros(len(self.data) + 1, dtype=U64)
-        np.cumsum(byte_table(seed, lower)[self.data] * up[: len(self.data)], out=total[1:])
-        h = (total[self.end] - total[self.start]) * down[self.start]
-        return mix(h + (self.end - self.start).astype(U64) * U64(0xA24BAED4963EE407) + U64(seed))
+        """One 64-bit hash for each word: its length, then each block of 8 bytes, mixed in one after the other.
+
+        Words of up to 8 bytes and one length never collide; a word of more than BLOCKED bytes gets a BLAKE2 digest.
+        """
+        length = self.end - self.start
+        h = mix(length.astype(U64) * U64(0xA24BAED4963EE407) + mix(np.array([seed], U64)))
+        if not len(h):
+            return h
+        data = np.append(_LOWER[self.data] if lower else self.data, np.zeros(8, np.uint8))
+        block_at = np.ndarray(len(data) - 7, "<u8", data.data, strides=(1,))
+        every = np.flatnonzero(length <= BLOCKED)
+        at, left = self.start[every], length[every]
+        while len(every):
+            block = block_at[at] & _MASK[np.minimum(left, 8)]
+            h[every] = mix(h[every] ^ block) + U64(0x9FB21C651E98DF25)
+            more = left > 8
+            every, at, left = every[more], at[more] + 8, left[more] - 8
+        for k in np.flatnonzero(length > BLOCKED).tolist():
+            digest = blake2b(data[self.start[k] : self.end[k]].data, digest_size=8, key=seed.to_bytes(8, "little"))
+            h[k] = int.from_bytes(digest.digest(), "little")
+        return mix(h)
 
 
 _LETTER = np.zeros(256, bool)
