@@ -16,10 +16,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartolith.llm.words import U64, Chunk, bare, chunks, constants, mix, powers
+from cartolith.llm.words import U64, Chunk, bare, chunks, mix
 from cartolith.runtime import ship
 
 BITS = 18
+#: Bytes of text whose features are in memory at once, and the number that stands for no feature.
+PIECE, NONE = 1 << 18, 0xFFFFFFFF
 _CLASS = np.arange(256, dtype=np.uint8)
 _CLASS[ord("a") : ord("z") + 1] = ord("a")
 _CLASS[128:] = ord("a")
@@ -37,11 +39,7 @@ def shape_hashes(c: Chunk, seed: int) -> np.ndarray:
     keep[c.start] = True
     place = np.concatenate([[0], np.cumsum(keep)])
     kind = kind[keep]
-    up, down = powers(len(kind) + 1)
-    total = np.zeros(len(kind) + 1, U64)
-    np.cumsum(constants(256, seed)[kind] * up[: len(kind)], out=total[1:])
-    s, e = place[c.start], place[c.end]
-    return mix((total[e] - total[s]) * down[s] + (e - s).astype(U64))
+    return Chunk(c.rows, kind, c.limits, place[c.start], place[c.end], c.first).hashes(seed)
 
 
 def _pairs(h: np.ndarray, first: np.ndarray, seed: int) -> np.ndarray:
@@ -57,7 +55,7 @@ def quality_features(c: Chunk) -> np.ndarray:
     """Feature numbers, one row for each word: word, word pair, shape, shape pair."""
     word, shape = c.hashes(11, lower=True), shape_hashes(c, 12)
     both = [word, _pairs(word, c.first, 13), shape, _pairs(shape, c.first, 14)]
-    return (np.stack(both, 1) >> U64(64 - BITS)).astype(np.int64)
+    return (np.stack(both, 1) >> U64(64 - BITS)).astype(np.uint32)
 
 
 def _labelled(labels: DataFrame, id_col: str, label_col: str, usable: Column) -> DataFrame:
@@ -67,21 +65,25 @@ def _labelled(labels: DataFrame, id_col: str, label_col: str, usable: Column) ->
 
 
 def _texts(docs: DataFrame, y: DataFrame, id_col: str, text_col: str, max_train: int) -> DataFrame:
-    """(id, text, y) of the max_train rows of y that are smallest by a hash of the id; that many are broadcast."""
+    """(id, y, text) of the max_train rows of y that are smallest by a hash of the id; that many are broadcast.
+
+    An id that stands on several rows of docs counts once, with the smallest of its texts.
+    """
     y = y.orderBy(F.xxhash64("id"), "id").limit(max_train)
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(y), "id")
+    both = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(y), "id")
+    return both.groupBy("id", "y").agg(F.min("text").alias("text"))
 
 
 def _sparse(batches: Iterator[pa.RecordBatch], of: Callable[[Chunk], np.ndarray]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         ids, ys, xs, ns = b.column("id"), b.column("y"), [], []
-        for c in chunks(b.column("text")):
+        for c in chunks(b.column("text"), PIECE):
             f = of(c)
             for k in range(len(c.limits) - 1):
                 own = f[c.first[k] : c.first[k + 1]]
-                idx, n = np.unique(own[own >= 0], return_counts=True)
+                idx, n = np.unique(own[own != NONE], return_counts=True)
                 xs.append(idx.astype("<u4").tobytes())
-                ns.append(np.minimum(n, 65535).astype("<u2").tobytes())
+                ns.append(n.astype("<u4").tobytes())
         yield pa.RecordBatch.from_arrays([ids, ys, pa.array(xs, pa.binary()), pa.array(ns, pa.binary())], ["id", "y", "x", "n"])
 
 
@@ -111,12 +113,12 @@ def fit_quality(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", t
     rows = _texts(docs, _labelled(labels, id_col, label_col, usable), id_col, text_col, max_train)
     rows = rows.mapInArrow(lambda it: _sparse(it, quality_features), f"id {dict(rows.dtypes)['id']}, y int, x binary, n binary").collect()
     rows.sort(key=lambda r: (zlib.crc32(str(r["id"]).encode()), str(r["id"])))
-    return ftrl([(r["y"], np.frombuffer(r["x"], "<u4").astype(np.int64), np.frombuffer(r["n"], "<u2").astype(float)) for r in rows], 1 << BITS, scale=SCALE)
+    return ftrl([(r["y"], np.frombuffer(r["x"], "<u4").astype(np.int64), np.frombuffer(r["n"], "<u4").astype(float)) for r in rows], 1 << BITS, scale=SCALE)
 
 
 def _quality_scores(column: pa.Array, w: np.ndarray) -> np.ndarray:
     out = []
-    for c in chunks(column):
+    for c in chunks(column, PIECE):
         each = w[quality_features(c)].sum(1, dtype=np.float64)
         total = np.concatenate([[0.0], np.cumsum(each)])
         n = 4.0 * np.maximum(1, c.first[1:] - c.first[:-1])
@@ -155,21 +157,23 @@ PLACES = 22
 
 
 def word_features(c: Chunk) -> np.ndarray:
-    """Feature numbers of bare lower-case words, their pairs and their first bytes, one row for each word; -1: none."""
+    """Feature numbers of bare lower-case words, their pairs and their first bytes, one row for each word; or NONE."""
+    out = np.empty((len(c.start), 2 + len(PREFIXES)), np.uint32)
     if not len(c.start):
-        return np.zeros((0, 2 + len(PREFIXES)), np.int64)
+        return out
     c = bare(c)
     of = lambda end, seed: Chunk(c.rows, c.data, c.limits, c.start, end, c.first).hashes(seed, lower=True)
     whole = of(c.end, 21)
-    out = [whole, _pairs(whole, c.first, 22), *(of(np.minimum(c.start + k, c.end), 23) for k in PREFIXES)]
-    out = (np.stack(out, 1) >> U64(64 - PLACES)).astype(np.int64)
+    out[:, 0] = whole >> U64(64 - PLACES)
+    out[:, 1] = _pairs(whole, c.first, 22) >> U64(64 - PLACES)
     for j, k in enumerate(PREFIXES):
-        out[c.end - c.start < k, 2 + j] = -1
+        out[:, 2 + j] = of(np.minimum(c.start + k, c.end), 23) >> U64(64 - PLACES)
+        out[c.end - c.start < k, 2 + j] = NONE
     return out
 
 
 class Ordinal:
-    """P(grade >= k) = sigmoid(w.x - t_k), t_1 < t_2 < ...; features: sorted numbers of the chosen ones."""
+    """P(grade >= k) = sigmoid(w.x - t_k), t_1 < t_2 < ...; features: sorted numbers of the chosen ones, 32767 at most."""
 
     def __init__(self, features: np.ndarray, weights: np.ndarray, thresholds: np.ndarray):
         self.features, self.weights, self.thresholds = features, weights, thresholds
@@ -179,21 +183,22 @@ class Ordinal:
         return self.__dict__ | {"_lookup": None}
 
     def lookup(self) -> np.ndarray:
-        """For each feature number, and -1 as the last, its place among the chosen from 1, or 0."""
+        """For each feature number its place among the chosen from 1, or 0; 8 MB."""
         if self._lookup is None:
-            self._lookup = np.zeros((1 << PLACES) + 1, np.int32)
+            self._lookup = np.zeros(1 << PLACES, np.int16)
             self._lookup[self.features] = np.arange(1, len(self.features) + 1)
         return self._lookup
 
     def at_least(self, column: pa.Array) -> np.ndarray:
         """Rows by grades 1, 2, ...: the probability of that grade or a higher one."""
-        eta, lookup = [], self.lookup()
-        for c in chunks(column):
-            f = lookup[word_features(c)]
-            word, kind = np.nonzero(f)
+        eta, lookup, base = [], self.lookup(), len(self.features) + 1
+        for c in chunks(column, PIECE):
+            f = word_features(c)
+            place = np.where(f != NONE, lookup[np.minimum(f, len(lookup) - 1)], 0)
+            word, kind = np.nonzero(place)
             row = np.searchsorted(c.first, word, side="right") - 1
-            pair = np.unique(row * (len(self.features) + 1) + f[word, kind])
-            eta.append(np.bincount(pair // (len(self.features) + 1), self.weights[pair % (len(self.features) + 1) - 1] if len(pair) else None, len(c.limits) - 1))
+            pair = np.unique(row * base + place[word, kind])
+            eta.append(np.bincount(pair // base, self.weights[pair % base - 1] if len(pair) else None, len(c.limits) - 1))
         eta = np.concatenate(eta) if eta else np.zeros(0)
         return 1 / (1 + np.exp(-np.clip(eta[:, None] - self.thresholds[None, :], -35, 35)))
 
@@ -222,45 +227,87 @@ def fit_ordinal(grades: np.ndarray, rows: list[np.ndarray], dims: int, levels: i
     return w, t
 
 
+def _counts(xs: list[np.ndarray], chosen: np.ndarray) -> np.ndarray:
+    """In how many of the chosen rows each feature stands."""
+    out = np.zeros(1 << PLACES, np.int32)
+    for j in np.flatnonzero(chosen):
+        out[xs[j]] += 1
+    return out
+
+
+def telling_features(xs: list[np.ndarray], toxic: np.ndarray, chosen: np.ndarray, least: float = 20.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features whose log-likelihood ratio between the chosen rows' classes is over least, the ratios, and whether they are 3 times as common in toxic rows."""
+    a, b = _counts(xs, chosen & toxic), _counts(xs, chosen & ~toxic)
+    na, nb = max(1, (chosen & toxic).sum()), max(1, (chosen & ~toxic).sum())
+    part = lambda k, n, p: k * np.log(np.maximum(p, 1e-12)) + (n - k) * np.log(np.maximum(1 - p, 1e-12))
+    names, ratios, sides = [], [], []
+    for lo in range(0, len(a), PIECE):  # a piece at a time: the tables in double precision stay small
+        i = lo + np.flatnonzero(a[lo : lo + PIECE] + b[lo : lo + PIECE])
+        x, y = a[i].astype(float), b[i].astype(float)
+        both = (x + y) / (na + nb)
+        ratio = 2 * (part(x, na, x / na) + part(y, nb, y / nb) - part(x, na, both) - part(y, nb, both))
+        tell = ratio > least
+        names.append(i[tell])
+        ratios.append(ratio[tell])
+        sides.append((x / na > 3 * (y / nb))[tell])
+    return np.concatenate(names), np.concatenate(ratios), np.concatenate(sides)
+
+
+def proxy_grades(xs: list[np.ndarray], ns: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
+    """Grades 0, 1, 2 for rows that are only known to be toxic or not, by cross-fitting.
+
+    The rows are halved. Markers are chosen on one half, and the other half's toxic rows are graded by how often those
+    markers occur: at or over the median of that half is 2, below it 1. So no row's grade hangs on features that were
+    chosen by its own label, and the grade counts occurrences, where the model sees only presence.
+    """
+    grades, half = toxic.astype(np.int64), np.arange(len(xs)) % 2
+    for k in (0, 1):
+        names, _, toxic_side = telling_features(xs, toxic, half != k)
+        marker = np.zeros(1 << PLACES, bool)
+        marker[names[toxic_side]] = True
+        own = np.flatnonzero((half == k) & toxic)
+        if len(own) and marker.any():
+            hits = np.array([ns[j][marker[xs[j]]].sum() for j in own])
+            grades[own] += hits >= max(1, np.median(hits))
+    return grades
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", usable: Column | None = None, max_train: int = 6000, max_features: int = 2048) -> Ordinal:
-    """Fit severity grades 0, 1, 2 from at most max_train labelled rows for which usable holds, half of them toxic.
+    """Fit severity grades from at most max_train labelled rows for which usable holds, half of them toxic.
 
-    The labels say toxic or not; how severe is graded from the text: markers are the chosen features much commoner in
-    toxic rows, and a toxic row with at least the median number of marker occurrences is grade 2, another one grade 1.
+    A label column with grades 0 to K is taken as it is. Labels of 0 and 1 say toxic or not and nothing of how severe:
+    then grades 0, 1, 2 come from proxy_grades, which is a stand-in, not a judgement of people.
     Features are the max_features words, pairs and prefixes with the highest log-likelihood ratio between the classes.
     The thresholds are shifted by the difference between the shares of toxic rows in the sample and in the labels.
     """
     ship(docs.sparkSession)
-    y = _labelled(labels, id_col, label_col, F.lit(True) if usable is None else usable).select("id", (F.col("y") > 0).cast("int").alias("y"))
-    share = dict(y.groupBy("y").count().collect())
-    if len(share) < 2:
-        return Ordinal(np.zeros(0, np.int64), np.zeros(0), np.array([0.0, 1.0]) + (-3 if 1 in share else 3))
+    y = _labelled(labels, id_col, label_col, F.lit(True) if usable is None else usable).select("id", F.greatest("y", F.lit(0)).alias("y"))
+    counted = dict(y.groupBy("y").count().collect())
+    share = {0: counted.get(0, 0), 1: sum(n for k, n in counted.items() if k)}
+    if not share[0] or not share[1]:
+        return Ordinal(np.zeros(0, np.int64), np.zeros(0), np.array([0.0, 1.0]) + (-3 if share[1] else 3))
     rows = []
     for k in (0, 1):
-        some = _texts(docs, y.where(F.col("y") == k), id_col, text_col, max_train // 2)
+        some = _texts(docs, y.where((F.col("y") > 0) == F.lit(k > 0)), id_col, text_col, max_train // 2)
         rows += some.mapInArrow(lambda it: _sparse(it, word_features), f"id {dict(some.dtypes)['id']}, y int, x binary, n binary").collect()
-    rows.sort(key=lambda r: (r["y"], r["id"]))
+    rows.sort(key=lambda r: (r["y"], zlib.crc32(str(r["id"]).encode()), str(r["id"])))
     toxic = np.array([r["y"] > 0 for r in rows], bool)
-    counts = np.zeros((2, 1 << PLACES))
-    for r in rows:
-        counts[r["y"], np.frombuffer(r["x"], "<u4")] += 1
-    b, a = counts
-    na, nb = max(1, toxic.sum()), max(1, (~toxic).sum())
-    part = lambda k, n, p: k * np.log(np.maximum(p, 1e-12)) + (n - k) * np.log(np.maximum(1 - p, 1e-12))
-    both = (a + b) / (na + nb)
-    ratio = 2 * (part(a, na, a / na) + part(b, nb, b / nb) - part(a, na, both) - part(b, nb, both))
-    features = np.sort(np.argsort(-ratio, kind="stable")[: min(max_features, int((ratio > 20).sum()))])
-    marker = features[(a[features] / na) > 3 * (b[features] / nb)]
-    xs = [np.frombuffer(r["x"], "<u4").astype(np.int64) for r in rows]
-    hits = np.array([int(np.frombuffer(r["n"], "<u2")[np.isin(x, marker)].sum()) for x, r in zip(xs, rows, strict=True)])
-    grades = np.where(toxic, np.where(hits >= max(1, np.median(hits[toxic])), 2, 1), 0)
-    present = [np.searchsorted(features, x[np.isin(x, features)]) for x in xs]
-    w, t = fit_ordinal(grades, present, len(features), 2)
-    return Ordinal(features, w, t - np.log(share[1] / share[0]) + np.log(na / nb))
+    xs, ns = [np.frombuffer(r["x"], "<u4") for r in rows], [np.frombuffer(r["n"], "<u4") for r in rows]
+    names, ratio, _ = telling_features(xs, toxic, np.ones(len(rows), bool))
+    features = np.sort(names[np.argsort(-ratio, kind="stable")[:max_features]])
+    grades = np.array([r["y"] for r in rows], np.int64) if max(counted) > 1 else proxy_grades(xs, ns, toxic)
+    place = np.full(1 << PLACES, -1, np.int16)
+    place[features] = np.arange(len(features))
+    present = [p[p >= 0] for p in (place[x] for x in xs)]
+    w, t = fit_ordinal(grades, present, len(features), max(2, max(counted)))
+    return Ordinal(features, w, t - np.log(share[1] / share[0]) + np.log(max(1, toxic.sum()) / max(1, (~toxic).sum())))
 
 
 def score_toxicity(docs: DataFrame, model: Ordinal, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
-    """id, p_toxic, p_severe, severity (expected grade, 0 to 2), toxic for every row. Null and empty texts have no features."""
+    """id, p_toxic, p_severe (grade 2 or more), severity (expected grade), toxic for every row.
+
+    Null and empty texts have no features; rows that share an id are scored each by its own text.
+    """
     ship(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
