@@ -6,6 +6,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,30 +22,69 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a local one where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir.
+
+    Where that is unset and Spark runs in one process, a temporary folder; on a cluster that is an error, because
+    executors would write each to a disk of their own.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = f"file://{tempfile.gettempdir()}/checkpoints"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
+#: The paths written since each open temporary() began, the innermost last.
+_open: list[list[str]] = []
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write df as Parquet into the shared folder and read it back: later steps start from files, not from lineage."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
+    if _open:
+        _open[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_materialized(*frames: DataFrame) -> None:
     """Delete the files behind frames made by materialize(), once nothing reads them any more."""
     for df in frames:
         for f in {os.path.dirname(x) for x in df.inputFiles()}:
             if os.path.basename(f).startswith("cut-"):
-                jvm = df.sparkSession._jvm
-                path = jvm.org.apache.hadoop.fs.Path(f)
-                path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+                _delete(df.sparkSession, f)
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """On leaving, delete all that materialize() wrote inside, but for what went through the function it gives.
+
+    That function writes a frame that outlives the block; it may not read from the block's files later.
+    """
+    _open.append([])
+    kept = []
+
+    def keep(df: DataFrame) -> DataFrame:
+        out = materialize(df)
+        kept.append(_open[-1].pop())
+        return out
+
+    try:
+        yield keep
+    finally:
+        for path in _open.pop():
+            _delete(spark, path)
+        if _open:
+            _open[-1] += kept
 
 
 def ship(spark: SparkSession) -> None:
