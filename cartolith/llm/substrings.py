@@ -19,11 +19,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartolith.llm.bitmap import build
 from cartolith.llm.words import U64, Chunk, chunks, windows
 from cartolith.runtime import materialize, ship
 
 WIDTH, PERIOD, COVER = 20, 13, (0, 1, 3, 9)
-SPAN = 1 << 13  # bytes of one piece of the bitmap
 
 
 def _anchors(c: Chunk, width: int, period: int, cover: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -54,37 +54,6 @@ def _candidates(c: Chunk, width: int, period: int, cover: tuple, repeated) -> tu
     return r, start - c.first[r], one[start], two[start]
 
 
-class Bitmap:
-    """Set of 64-bit hashes: bit number is the hash's top bits."""
-
-    def __init__(self, shift: int, bits: np.ndarray):
-        self.shift, self.bits = shift, bits
-
-    def __call__(self, row: np.ndarray, h: np.ndarray) -> np.ndarray:
-        at = h >> U64(self.shift)
-        return (self.bits[(at >> U64(3)).astype(np.int64)] >> (at & U64(7)).astype(np.uint8)) & 1 > 0
-
-
-def _bitmap(hashes: DataFrame, count: int) -> Bitmap:
-    """Each piece of the bitmap is made by one small group; hashes are even over them."""
-    bits = max(16, int(np.ceil(np.log2(16 * max(1, count)))))
-    piece = bits - min(bits, int(np.log2(SPAN * 8)))
-
-    def build(key, batch):
-        at = batch.column("h").to_numpy().view(U64) >> U64(64 - bits)
-        low = at & U64((1 << (bits - piece)) - 1)
-        out = np.zeros(1 << (bits - piece), bool)
-        out[low.astype(np.int64)] = True
-        return pa.table({"k": pa.array([key[0].as_py()], pa.int64()), "b": pa.array([np.packbits(out, bitorder="little").tobytes()], pa.binary())})
-
-    key = F.shiftrightunsigned("h", 64 - piece) if piece else F.lit(0).cast("long")
-    got = hashes.select("h", key.alias("k")).groupBy("k").applyInArrow(build, "k long, b binary").collect()
-    out = np.zeros((1 << piece, (1 << (bits - piece)) // 8), np.uint8)
-    for r in got:
-        out[r["k"]] = np.frombuffer(r["b"], np.uint8)
-    return Bitmap(64 - bits, out.reshape(-1))
-
-
 def _long(h: np.ndarray) -> pa.Array:
     return pa.array(h.view(np.int64), pa.int64())
 
@@ -94,18 +63,26 @@ def repeated_runs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
 
     A word goes if a window of width words over it has equal words at an earlier start: a smaller id, or the same row
     and an earlier place. Null and empty texts have no words; rows with fewer than width words keep all. Rows with a
-    null id keep all and count for nothing; rows that share an id are the same document's places.
+    null id keep all and count for nothing. Ids may be of any type that has an order. Rows with one id and one text are
+    one document; those with one id and other texts are documents of their own, in the order of a hash of the text.
     """
     if width < period or {(a - b) % period for a in cover for b in cover} != set(range(period)):
         raise ValueError("cover must give all differences modulo period, and a window must hold an anchor")
     spark = docs.sparkSession
     ship(spark)
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    kind = dict(docs.dtypes)[id_col]
+    whole = kind in ("tinyint", "smallint", "int", "bigint")
+    rows = docs.select((F.col(id_col).cast("long") if whole else F.col(id_col)).alias("id"), F.col(text_col).alias("text"))
+    # a document is its id; where ids repeat, its id and a hash of its text
+    repeats = not rows.where("id is not null").groupBy("id").count().where("count > 1").isEmpty()
+    key = F.when(F.col("id").isNotNull(), F.struct("id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("k"))) if repeats else F.col("id")
+    rows = rows.select("id", key.alias("key"), "text")
+    key_kind = dict(rows.dtypes)["key"]
     known = rows.where("id is not null")
 
     def anchors(batches):
         for b in batches:
-            for c in chunks(b.column(1)):
+            for c in chunks(b.column("text")):
                 yield pa.RecordBatch.from_arrays([_long(_anchors(c, width, period, cover)[2])], ["h"])
 
     often = known.mapInArrow(anchors, "h long").groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
@@ -113,7 +90,7 @@ def repeated_runs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     count = often.count()
     sent = by_row = None
     if count * 4 <= max_bitmap_bytes:
-        sent = spark.sparkContext.broadcast(_bitmap(often, count))
+        sent = spark.sparkContext.broadcast(build(often, count))
     else:
         by_row = _joined(known, often, width, period, cover)
 
@@ -128,30 +105,28 @@ def repeated_runs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
 
     def places(batches):
         for b in batches:
-            ids = b.column("id").to_numpy(zero_copy_only=False)
             for c in chunks(b.column("text")):
                 r, p, one, two = _candidates(c, width, period, cover, of(b, c))
-                yield pa.RecordBatch.from_arrays([_long(one), _long(two), pa.array(ids[c.rows][r], pa.int64()), pa.array(p, pa.int64())], ["h", "g", "id", "p"])
+                yield pa.RecordBatch.from_arrays([_long(one), _long(two), b.column("key").take(pa.array(r + c.rows.start)), pa.array(p, pa.int64())], ["h", "g", "key", "p"])
 
-    found = source.select(F.col("id").cast("long").alias("id"), *[c for c in source.columns if c != "id"]).mapInArrow(places, "h long, g long, id long, p long")
-    # smallest (id, place): as one number where ids and places fit, so that map-side minima stay in a hash aggregate
+    found = source.mapInArrow(places, f"h long, g long, key {key_kind}, p long")
+    # smallest (key, place): as one number where ids and places fit, so that map-side minima stay in a hash aggregate
     low, high, longest = known.agg(F.min("id"), F.max("id"), F.max(F.octet_length("text"))).first()
     bits = max(1, int(longest or 1).bit_length())
-    if low is None or (low >= 0 and int(high).bit_length() + bits < 63):
-        one = found.groupBy("h", "g").agg(F.min(F.shiftleft("id", bits) + F.col("p")).alias("at"))
-        firsts = one.select(F.shiftright("at", bits).alias("id"), F.col("at").bitwiseAND((1 << bits) - 1).cast("int").alias("p"))
+    if whole and not repeats and (low is None or (low >= 0 and int(high).bit_length() + bits < 63)):
+        one = found.groupBy("h", "g").agg(F.min(F.shiftleft("key", bits) + F.col("p")).alias("at"))
+        firsts = one.select(F.shiftright("at", bits).alias("key"), F.col("at").bitwiseAND((1 << bits) - 1).cast("int").alias("p"))
     else:
-        one = found.groupBy("h", "g").agg(F.min(F.struct("id", "p")).alias("at"))
-        firsts = one.select("at.id", F.col("at.p").cast("int").alias("p"))
-    firsts = materialize(firsts.groupBy("id").agg(F.collect_list("p").alias("first")))
-    kind = dict(docs.dtypes)[id_col]
-    work = rows.select(F.col("id").cast("long").alias("id"), "text") if by_row is None else by_row.unionByName(rows.where("id is null").select(F.col("id").cast("long").alias("id"), "text"), allowMissingColumns=True)
-    work = work.join(firsts, "id", "left")
+        one = found.groupBy("h", "g").agg(F.min(F.struct("key", "p")).alias("at"))
+        firsts = one.select("at.key", F.col("at.p").cast("int").alias("p"))
+    firsts = materialize(firsts.groupBy("key").agg(F.collect_list("p").alias("first")))
+    work = rows if by_row is None else by_row.unionByName(rows.where("id is null"), allowMissingColumns=True)
+    work = work.join(firsts, "key", "left")
 
     def remove(batches):
         for b in batches:
             first, n, gone, kept = b.column("first"), [], [], []
-            known_id = b.column("id").is_valid().to_numpy(zero_copy_only=False)
+            known_id = b.column("key").is_valid().to_numpy(zero_copy_only=False)
             for c in chunks(b.column("text")):
                 r, p, _, _ = _candidates(c, width, period, cover, of(b, c))
                 start = c.first[r] + p
@@ -176,7 +151,7 @@ def repeated_runs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
                     kept.append(b" ".join([data[s:e] for s, e in zip(c.start[stay].tolist(), c.end[stay].tolist(), strict=True)]))
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], ["id", "n_words", "n_removed", "kept_text"])
 
-    out = work.mapInArrow(remove, "id long, n_words long, n_removed long, kept_text string")
+    out = work.mapInArrow(remove, f"id {dict(rows.dtypes)['id']}, n_words long, n_removed long, kept_text string")
     return out.select(F.col("id").cast(kind).alias(id_col), "n_words", "n_removed", "kept_text")
 
 
@@ -185,19 +160,18 @@ def _joined(known: DataFrame, often: DataFrame, width: int, period: int, cover:
 
     def anchors(batches):
         for b in batches:
-            ids = b.column(0).to_numpy(zero_copy_only=False)
-            for c in chunks(b.column(1)):
+            for c in chunks(b.column("text")):
                 row, _, h = _anchors(c, width, period, cover)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[c.rows][row], pa.int64()), _long(h)], ["id", "h"])
+                yield pa.RecordBatch.from_arrays([b.column("key").take(pa.array(row + c.rows.start)), _long(h)], ["key", "h"])
 
-    long = known.select(F.col("id").cast("long").alias("id"), "text")
-    own = long.mapInArrow(anchors, "id long, h long").join(often, "h").groupBy("id").agg(F.collect_set("h").alias("hs"))
+    kind = dict(known.dtypes)["key"]
+    own = known.mapInArrow(anchors, f"key {kind}, h long").join(often, "h").groupBy("key").agg(F.collect_set("h").alias("hs"))
 
     def pack(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([np.array(x, np.int64).tobytes() for x in b.column(1).to_pylist()], pa.binary())], ["id", "often"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([np.array(x, np.int64).tobytes() for x in b.column(1).to_pylist()], pa.binary())], ["key", "often"])
 
-    return materialize(long.join(own.mapInArrow(pack, "id long, often binary"), "id", "left"))
+    return materialize(known.join(own.mapInArrow(pack, f"key {kind}, often binary"), "key", "left").select("id", "key", "text", "often"))
 
 
 def kept_digests(docs: DataFrame, *, id_col: str = "doc_id", **named) -> DataFrame:
