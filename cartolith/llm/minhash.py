@@ -21,6 +21,7 @@ thousand shingles; for longer ones it lets more pairs through. No component of c
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import partial
 from math import comb
 
@@ -29,14 +30,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cartolith.llm.bitmap import build
 from cartolith.llm.words import U64, Chunk, chunks, constants, mix, windows
 from cartolith.operators.graph import connected_components
-from cartolith.runtime import materialize, ship
+from cartolith.runtime import materialize, ship, temporary
 
 SHINGLE, SYMBOLS, CHUNKS = 5, 64, 12
 ERRORS = 2 * CHUNKS - 1
 PERCENT = 85
 ROUNDS = 2
+#: The largest bitmap of involved rows that is broadcast
+MAP_BYTES = 1 << 26
 #: The largest chance that two signatures of a linked pair differ in more symbols than the keys allow for
 MISS = 9e-6
 _FACTORS = constants(SYMBOLS, 41)
@@ -105,6 +109,12 @@ def row_keys(sig: np.ndarray, chunk_count: int = CHUNKS) -> np.ndarray:
     return out
 
 
+def set_digest(s: np.ndarray) -> tuple[int, int]:
+    """128 bits of a set of hashes."""
+    one, two = (int(mix(s + U64(k)).sum(dtype=U64).view(np.int64)) for k in (7, 8))
+    return one, two
+
+
 def profiles(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n (set size), s1 and s2 (digest of the set), sig (empty set: null)."""
     ship(docs.sparkSession)
@@ -117,7 +127,7 @@ def profiles(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                 some = [s for s in sets if len(s)]
                 sig = signatures(some) if some else np.zeros((0, SYMBOLS), np.uint16)
                 digest = iter([r.astype("<u2").tobytes() for r in sig])
-                sums = [[int(mix(s + U64(k)).sum(dtype=U64).view(np.int64)) for k in (7, 8)] for s in sets]
+                sums = [set_digest(s) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(c.rows.start, len(sets)), pa.array(n, pa.int64()), *(pa.array([x[k] for x in sums], pa.int64()) for k in (0, 1)), pa.array([next(digest) if k else None for k in n], pa.binary())],
                     ["id", "n", "s1", "s2", "sig"],
@@ -133,18 +143,28 @@ def _keys(batches, chunk_count: int = CHUNKS):
             continue
         sig = np.frombuffer(b"".join(b.column("sig").to_pylist()), "<u2").reshape(-1, SYMBOLS)
         take = pa.array(np.repeat(np.arange(b.num_rows), SYMBOLS))
-        yield pa.RecordBatch.from_arrays([pa.array(row_keys(sig, chunk_count).reshape(-1).view(np.int64)), b.column("id").take(take), b.column("n").take(take)], ["key", "id", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(row_keys(sig, chunk_count).reshape(-1).view(np.int64)), b.column("id").take(take)], ["key", "id"])
 
 
-def _sets(batches):
+def _sets(batches, wanted=None):
+    """id, digest, set and sketch of the rows of (id, text, h) whose h is in wanted."""
     for b in batches:
-        for c in chunks(b.column(1)):
-            sets = [s.view(np.int64) for s in shingle_sets(c)]
+        if wanted is not None:
+            h = b.column("h").to_numpy(zero_copy_only=False).astype(np.int64).view(U64)
+            b = b.filter(pa.array(wanted(None, h)))
+        for c in chunks(b.column("text")):
+            sets = shingle_sets(c)
             offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-            odd = np.stack([odd_sketch(s.view(U64)) for s in sets])
+            odd = np.stack([odd_sketch(s) for s in sets])
+            sums = [set_digest(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).slice(c.rows.start, len(sets)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets))), *(pa.array(np.ascontiguousarray(odd[:, k])) for k in range(len(SKETCH)))],
-                ["id", "s", *SKETCH],
+                [
+                    b.column("id").slice(c.rows.start, len(sets)),
+                    *(pa.array([x[k] for x in sums], pa.int64()) for k in (0, 1)),
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets).view(np.int64))),
+                    *(pa.array(np.ascontiguousarray(odd[:, k])) for k in range(len(SKETCH))),
+                ],
+                ["id", "s1", "s2", "s", *SKETCH],
             )
 
 
@@ -165,12 +185,12 @@ SKETCH = [f"q{k}" for k in range(16)]
 
 
 def _words(batches):
-    """id and the signature as numbers of four lanes of 15 bits; a lane has a symbol's low 14 bits and a spare one."""
+    """id, n and the signature as numbers of four lanes of 15 bits; a lane has a symbol's low 14 bits and a spare one."""
     for b in batches:
         if b.num_rows:
             sig = np.frombuffer(b"".join(b.column("sig").to_pylist()), "<u2").reshape(-1, SYMBOLS // 4, 4).astype(np.int64) & 0x3FFF
             packed = (sig << (15 * np.arange(4))).sum(2)
-            yield pa.RecordBatch.from_arrays([b.column("id"), *(pa.array(np.ascontiguousarray(packed[:, k])) for k in range(len(LANES)))], ["id", *LANES])
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("n"), *(pa.array(np.ascontiguousarray(packed[:, k])) for k in range(len(LANES)))], ["id", "n", *LANES])
 
 
 def lane_errors(a: Column, b: Column) -> Column:
@@ -194,82 +214,127 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return distances(pairs, sets).where(_linked(F.col("n_a"), F.col("n_b"), F.col("common"), percent)).select("a", "b")
 
 
-def _merged(rows: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """rows (key, id, n, c, ds) under the components that links between their components give, and that map."""
-    comp = materialize(connected_components(links).select(F.col("node").alias("c"), F.col("component").alias("c2")))
-    rows = rows.join(comp, "c", "left").select("key", "id", "n", F.coalesce("c2", "c").alias("c"), "ds", *LANES, *SKETCH)
-    return materialize(_mixed(materialize(rows))), comp
+def _components(links: DataFrame) -> DataFrame:
+    """c, c2: the component that links (a, b) give each of their ends."""
+    return materialize(connected_components(links).select(F.col("node").alias("c"), F.col("component").alias("c2")))
 
 
 def _mixed(rows: DataFrame) -> DataFrame:
+    """The rows of the buckets that still hold several components."""
     keys = materialize(rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key"))
-    return rows.join(keys, "key")
+    return materialize(rows.join(keys, "key"))
 
 
-def near_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, rounds: int = ROUNDS) -> DataFrame:
-    """id, n_shingles, component_id, kept for every row; linked where 100 * |A and B| >= percent * |A or B|.
+def _full_sets(docs: DataFrame, node: Callable, involved: DataFrame, repeats: bool) -> DataFrame:
+    """id (node), s, sketch of the involved nodes, and maybe of a few others.
 
-    component_id is the smallest id reachable over links, itself included. Empty sets are linked with nothing. Rows
-    that share an id are one node; a row with a null id is its own component and kept.
+    Without repeated ids a bitmap of the nodes goes to the texts, so that these do not move; beyond MAP_BYTES, or where
+    ids repeat, they are joined. The texts of one row or another are the same here: the set is the node's own.
+    """
+    spark, kind = docs.sparkSession, dict(docs.dtypes)["id"]
+    schema = f"id {kind}, s1 long, s2 long, s array<long>, " + ", ".join(f"{q} long" for q in SKETCH)
+    own = docs.select("id", "text", F.xxhash64("id").alias("h"))
+    count = involved.count()
+    if not repeats and 4 * count <= MAP_BYTES:
+        wanted = spark.sparkContext.broadcast(build(involved.select(F.xxhash64("id").alias("h")), count))
+        own = own.mapInArrow(lambda it: _sets(it, wanted.value), schema)
+    else:
+        ids = involved.select(F.col("id.id") if repeats else F.col("id")).distinct()
+        own = own.join(ids, "id", "left_semi").mapInArrow(_sets, schema)
+    own = own.where("size(s) > 0").select(node().alias("id"), "s", *SKETCH)
+    return materialize(own.dropDuplicates(["id"]) if repeats else own)
+
+
+def _component_of_classes(docs: DataFrame, rows: DataFrame, percent: int, rounds: int, repeats: bool) -> tuple[DataFrame, DataFrame]:
+    """(classes, nodes): n, s1, s2, rep, top for each distinct set; and node, component for each of their reps.
+
+    A node is a class's smallest id. Where ids repeat, one id may stand for several sets, and a node is that id with
+    the set's digest.
     """
     parts = parts_for(percent)
     errors = 2 * parts - 1
-    rows = materialize(profiles(docs, id_col, text_col))
-    full = rows.where("id is not null and n > 0")
+    node = (lambda: F.struct("id", "s1", "s2")) if repeats else (lambda: F.col("id"))
+    full = rows.where("id is not null and n > 0").withColumn("id", node())
+    kind = dict(full.dtypes)["id"]
     # one row for each distinct set; the signature follows from the set
     classes = materialize(full.groupBy("n", "s1", "s2").agg(F.min("id").alias("rep"), F.max("id").alias("top")))
-    reps = full.join(classes.select(F.col("rep").alias("id"), "n", "s1", "s2"), ["id", "n", "s1", "s2"]).dropDuplicates(["id", "n", "s1", "s2"])
-    reps = materialize(reps.select("id", "n", "sig"))
-    kind = dict(docs.dtypes)[id_col]
-    keys = reps.select("id", "n", "sig").mapInArrow(partial(_keys, chunk_count=parts), f"key long, id {kind}, n long")
-    hubs = keys.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub < last").select("key", "hub")
-    hubs = materialize(hubs)
+    reps = full.join(classes.select(F.col("rep").alias("id"), "n", "s1", "s2"), ["id", "n", "s1", "s2"])
+    reps = materialize((reps.dropDuplicates(["id"]) if repeats else reps).select("id", "n", "sig"))
+    keys = reps.select("id", "sig").mapInArrow(partial(_keys, chunk_count=parts), f"key long, id {kind}")
+    hubs = materialize(keys.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("many")).where("many > 1").select("key", "hub"))
     members = materialize(keys.join(hubs, "key"))
     involved = materialize(members.select("id").distinct())
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(involved, "id").dropDuplicates(["id"])
-    sets = materialize(texts.mapInArrow(_sets, f"id {kind}, s array<long>, " + ", ".join(f"{q} long" for q in SKETCH)))
-    size = reps.select(F.col("id").alias("hub"), F.col("n").alias("hub_n"))
-    stars = members.where("id <> hub").groupBy("hub", "id").agg(F.first("n").alias("n")).join(size, "hub")
-    stars = materialize(stars.where(_near(F.col("n"), F.col("hub_n"), percent)).select(F.col("hub").alias("a"), F.col("id").alias("b")))
-    links = materialize(confirmed(stars, sets, percent))
-    comp = materialize(connected_components(links))
+    sets = _full_sets(docs, node, involved, repeats)
+    n = lambda x: reps.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"))
+    stars = members.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
+    stars = materialize(stars.join(n("a"), "a").join(n("b"), "b").where(_near(F.col("n_a"), F.col("n_b"), percent)).select("a", "b"))
+    comp = _components(confirmed(stars, sets, percent))
+    maps = [comp]
     # buckets that still hold several components
-    sg = materialize(reps.select("id", "sig").mapInArrow(_words, f"id {kind}, " + ", ".join(f"{w} long" for w in LANES)).join(sets.select("id", *SKETCH), "id"))
-    named = members.join(sg, "id").join(comp.select(F.col("node").alias("id"), F.col("component")), "id", "left")
-    named = named.select("key", "id", "n", F.coalesce("component", "id").alias("c"), F.array().cast("array<double>").alias("ds"), *LANES, *SKETCH)
-    left = materialize(_mixed(materialize(named)))
-    maps = []
+    left = members.select("key", "id").join(comp.select(F.col("c").alias("id"), "c2"), "id", "left")
+    left = _mixed(materialize(left.select("key", "id", F.coalesce("c2", "id").alias("c"), F.array().cast("array<double>").alias("ds"))))
     for k in range(rounds):
-        if not left.limit(1).count():
+        if left.isEmpty():
             break
         own = materialize(left.groupBy("key").agg(F.min_by("id", F.xxhash64("id", F.lit(k))).alias("hub")))
-        with_hub = left.join(own, "key")
+        with_hub = materialize(left.join(own, "key"))
         far = distances(with_hub.where("hub <> id").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), sets)
         far = materialize(far.select("a", "b", _linked(F.col("n_a"), F.col("n_b"), F.col("common"), percent).alias("ok"), (1 - F.col("common") / (F.col("n_a") + F.col("n_b") - F.col("common"))).alias("d")))
-        known = materialize(with_hub).join(far, (F.col("hub") == F.col("a")) & (F.col("id") == F.col("b")), "left")
-        known = materialize(known.select("key", "id", "n", "c", F.concat("ds", F.array(F.coalesce("d", F.lit(0.0)))).alias("ds"), *LANES, *SKETCH))
+        known = with_hub.join(far.select("a", "b", "d"), (F.col("hub") == F.col("a")) & (F.col("id") == F.col("b")), "left")
+        known = materialize(known.select("key", "id", "c", F.concat("ds", F.array(F.coalesce("d", F.lit(0.0)))).alias("ds")))
         place = materialize(known.select("id", "c").distinct())
         links = far.where("ok").join(place.select(F.col("id").alias("a"), F.col("c").alias("c_a")), "a").join(place.select(F.col("id").alias("b"), F.col("c").alias("c_b")), "b")
-        left, comp_of = _merged(known, materialize(links.where("c_a <> c_b").select(F.col("c_a").alias("a"), F.col("c_b").alias("b")).distinct()))
-        maps.append(comp_of)
-    a, b = left.select("key", *[F.col(x).alias(f"{x}_a") for x in ("id", "n", "c", "ds", *LANES, *SKETCH)]), left.select("key", *[F.col(x).alias(f"{x}_b") for x in ("id", "n", "c", "ds", *LANES, *SKETCH)])
-    apart = F.exists(F.zip_with("ds_a", "ds_b", lambda x, y: F.abs(x - y)), lambda x: x > 1 - percent / 100 + 1e-9)
-    more = a.join(b, "key").where((F.col("id_a") < F.col("id_b")) & (F.col("c_a") != F.col("c_b")) & _near(F.col("n_a"), F.col("n_b"), percent) & (sum((lane_errors(F.col(f"{w}_a"), F.col(f"{w}_b")) for w in LANES), F.lit(0)) <= errors) & ~too_far("_a", "_b", F.col("n_a"), F.col("n_b"), percent) & ~apart)
-    more = materialize(more.groupBy(F.col("id_a").alias("a"), F.col("id_b").alias("b")).agg(F.first("c_a").alias("c_a"), F.first("c_b").alias("c_b")))
-    extra = confirmed(more, sets, percent).join(more, ["a", "b"]).select(F.col("c_a").alias("a"), F.col("c_b").alias("b"))
-    maps.append(materialize(connected_components(extra.distinct()).select(F.col("node").alias("c"), F.col("component").alias("c2"))))
-    comp = classes.select(F.col("rep").alias("node")).join(comp, "node", "left").select("node", F.coalesce("component", "node").alias("c"))
+        maps.append(_components(links.where("c_a <> c_b").select(F.col("c_a").alias("a"), F.col("c_b").alias("b")).distinct()))
+        left = _mixed(materialize(known.join(maps[-1], "c", "left").select("key", "id", F.coalesce("c2", "c").alias("c"), "ds")))
+    if not left.isEmpty():
+        # only here do signatures and sketches travel, with the rows of buckets that are still mixed
+        lanes = reps.select("id", "n", "sig").join(left.select("id").distinct(), "id", "left_semi").mapInArrow(_words, f"id {kind}, n long, " + ", ".join(f"{w} long" for w in LANES))
+        sg = materialize(lanes.join(sets.select("id", *SKETCH), "id"))
+        left = materialize(left.join(sg, "id"))
+        a, b = (left.select("key", *[F.col(x).alias(f"{x}_{side}") for x in ("id", "n", "c", "ds", *LANES, *SKETCH)]) for side in "ab")
+        apart = F.exists(F.zip_with("ds_a", "ds_b", lambda x, y: F.abs(x - y)), lambda x: x > 1 - percent / 100 + 1e-9)
+        differ = sum((lane_errors(F.col(f"{w}_a"), F.col(f"{w}_b")) for w in LANES), F.lit(0))
+        may = (F.col("id_a") < F.col("id_b")) & (F.col("c_a") != F.col("c_b")) & _near(F.col("n_a"), F.col("n_b"), percent)
+        more = a.join(b, "key").where(may & (differ <= errors) & ~too_far("_a", "_b", F.col("n_a"), F.col("n_b"), percent) & ~apart)
+        more = materialize(more.groupBy(F.col("id_a").alias("a"), F.col("id_b").alias("b")).agg(F.first("c_a").alias("c_a"), F.first("c_b").alias("c_b")))
+        extra = confirmed(more, sets, percent).join(more, ["a", "b"]).select(F.col("c_a").alias("a"), F.col("c_b").alias("b"))
+        maps.append(_components(extra.distinct()))
+    out = classes.select(F.col("rep").alias("node"), F.col("rep").alias("c"))
     for one in maps:
-        comp = comp.join(one, "c", "left").select("node", F.coalesce("c2", "c").alias("c"))
-    comp = materialize(comp.withColumnRenamed("c", "component"))
-    of_class = classes.join(comp.select(F.col("node").alias("rep"), "component"), "rep", "left").select("n", "s1", "s2", F.coalesce("component", "rep").alias("c"))
-    # classes of one row and no link need no join: their row is its own component
-    of_class = of_class.join(classes.where("rep < top").select("n", "s1", "s2"), ["n", "s1", "s2"], "left_semi").union(
-        of_class.join(classes.where("rep = top"), ["n", "s1", "s2"]).where("c <> rep").select("n", "s1", "s2", "c")
-    )
-    of_class = materialize(of_class)
-    out = rows.select("id", "n", "s1", "s2").join(of_class, ["n", "s1", "s2"], "left").select("id", "n", F.when(F.col("n") > 0, F.col("c")).alias("c"))
-    out = out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("c", "id")).alias("component_id"))
+        out = out.join(one, "c", "left").select("node", F.coalesce("c2", "c").alias("c"))
+    if repeats:
+        # sets that share an id are one document
+        out = materialize(out)
+        named = full.select(F.col("id.id").alias("own"), "n", "s1", "s2").distinct().join(classes.select("n", "s1", "s2", F.col("rep").alias("node")), ["n", "s1", "s2"]).join(out, "node").select("own", "c").distinct()
+        first = materialize(named.groupBy("own").agg(F.min("c").alias("a"), F.max("c").alias("last")).where("a < last").select("own", "a"))
+        shared = _components(named.join(first, "own").where("c <> a").select("a", F.col("c").alias("b")).distinct())
+        out = out.join(shared, "c", "left").select("node", F.coalesce("c2", "c").alias("c"))
+    return classes, materialize(out.withColumnRenamed("c", "component"))
+
+
+def near_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, rounds: int = ROUNDS) -> DataFrame:
+    """id, n_shingles, component_id, kept: one row for every row; linked where 100 * |A and B| >= percent * |A or B|.
+
+    component_id is the smallest id reachable over links, itself included. Empty sets are linked with nothing but rows
+    of their own id. Rows that share an id are one document, whatever their texts: what any of them is linked with is
+    one component. A row with a null id is its own component and kept.
+    """
+    spark = docs.sparkSession
+    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    with temporary(spark) as keep:
+        rows = materialize(profiles(docs, "id", "text"))
+        repeats = not rows.where("id is not null").groupBy("id").count().where("count > 1").isEmpty()
+        classes, comp = _component_of_classes(docs, rows, percent, rounds, repeats)
+        label = (lambda x: F.col(f"{x}.id")) if repeats else F.col
+        of_class = classes.join(comp.select(F.col("node").alias("rep"), "component"), "rep", "left").select("n", "s1", "s2", label("rep").alias("rep"), label("top").alias("top"), label("component").alias("c"))
+        # classes of one row and no link need no join: their row is its own component
+        of_class = materialize(of_class.where("rep < top or c <> rep").select("n", "s1", "s2", "c"))
+        out = rows.select("id", "n", "s1", "s2").join(of_class, ["n", "s1", "s2"], "left").select("id", "n", F.when(F.col("id").isNotNull(), F.coalesce(F.when(F.col("n") > 0, F.col("c")), "id")).alias("c"))
+        if repeats:
+            own = materialize(out.groupBy("id").agg(F.min("c").alias("least")))
+            out = out.join(own, "id", "left").select("id", "n", F.coalesce("least", "c").alias("c"))
+        out = keep(out)
+    out = out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("c").alias("component_id"))
     return out.withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id")))
 
 
