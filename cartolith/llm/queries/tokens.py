@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import os
-
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from cartolith.llm import bpe, pieces
 from cartolith.runtime import table
 
-TOKENIZER = os.environ.get("TOKENIZER_FILE", "/opt/tokenizers/byte_bpe_50k.json")
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
