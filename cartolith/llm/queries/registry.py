@@ -16,4 +16,4 @@ QUERIES = {
     "op9_quality": models.quality,
     "op10_substring_dedup": substrings.substrings,
 }
-SQL = {"op5_exact_dedup": dedup.EXACT_SQL}
+SQL = {"op1_near_dedup": pairs.NEAR_SQL, "op5_exact_dedup": dedup.EXACT_SQL, "op7_line_dedup": dedup.LINES_SQL, "op10_substring_dedup": substrings.SQL}
