@@ -8,11 +8,10 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from cartolith.llm import bpe, decontaminate, exact, licenses, linear, lines, minhash, pieces, substrings
+from cartolith.llm import bpe, decontaminate, exact, licenses, linear, minhash, pieces, substrings
 from cartolith.llm.queries import registry
 from cartolith.llm.queries.models import held_out
 from cartolith.llm.queries.tokens import TOKENIZER
-from tests.oracle import rows_of_spark, rows_of_sql
 
 FOLDER = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, id string, n long, h long, key string"
@@ -124,11 +123,6 @@ def test_exact_hot_group(spark):
     assert [tuple(r) for r in got] == [(0, 1000, 1000)]
 
 
-def test_exact_sql(spark):
-    name = "op5_exact_dedup"
-    assert rows_of_spark(registry.QUERIES[name](spark, FOLDER)) == rows_of_sql(registry.SQL[name], FOLDER)
-
-
 def test_bpe(spark, docs, empty):
     from tokenizers import Tokenizer
 
@@ -204,44 +198,6 @@ def test_every_licence_name_alone(spark):
     assert [c for k, c in enumerate(cases) if c[0] not in labels[k]] == []
 
 
-def plain_chunks(spark, text):
-    row = lines.with_chunks(spark.createDataFrame([(text,)], "t string"), lines.F.col("t")).select("chunks").first()
-    return [(c.lines, c.body) for c in row.chunks]
-
-
-def test_lines(spark, docs, empty):
-    rng = random.Random(2)
-    passage = "\n".join(words(rng, 6) for _ in range(12))
-    rows = [(k, f"{words(rng, 5)}\n" * k + passage + f"\n{words(rng, 5)}") for k in range(8)] + [(20, None), (21, ""), (22, "a\nb")]
-    frame = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r.doc_id: r for r in lines.dedup_lines(frame).collect()}
-    seen, want = set(), {}
-    for i, t in rows:
-        parts = plain_chunks(spark, t or "")
-        assert "\n".join(b for _, b in parts) == (t or "")
-        kept = []
-        for n, body in parts:
-            if n >= lines.LEAST_LINES and body.strip(" "):
-                if body in seen:
-                    continue
-                seen.add(body)
-            kept.append(body)
-        want[i] = "\n".join(kept)
-    assert {i: r.kept_text for i, r in got.items()} == want
-    assert sum(r.n_removed for r in got.values()) > 30
-    assert lines.dedup_lines(empty).collect() == [] and lines.dedup_lines(docs).count() == docs.count()
-
-
-def test_lines_no_single_line_chunks(spark):
-    """Inside a text no chunk is a single line, wherever a passage stands; a run of one line is cut into equal pairs."""
-    rng = random.Random(8)
-    for _ in range(5):
-        parts = plain_chunks(spark, "\n".join(words(rng, 6) for _ in range(80)))
-        assert min(n for n, _ in parts[:-1]) >= 2 and sum(n for n, _ in parts) == 80
-    run = plain_chunks(spark, "\n".join(["head one", "head two"] + ["same line here"] * 20 + ["tail one", "tail two"]))
-    assert [b for _, b in run].count("same line here\nsame line here") >= 8
-
-
 def test_leaks(spark, docs, empty):
     rng = random.Random(4)
     items = [(k, words(rng, rng.randint(15, 50))) for k in range(40)] + [(90, None), (91, ""), (92, "odd zebra")]
