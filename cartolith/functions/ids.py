@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -74,3 +77,27 @@ def tile_key(key: Column) -> list[Column]:
     """layer, z, x and y of a key layer|z/x/y."""
     rest = F.split(F.substring_index(key, "|", -1), "/")
     return [F.substring_index(key, "|", 1).cast("int"), *[rest[k].cast("int") for k in range(3)]]
+
+
+@F.pandas_udf("string")
+def _without_accents(names: pd.Series) -> pd.Series:
+    """Compatibility decomposition without the combining marks; Spark has no built-in normal forms."""
+    plain = lambda s: None if s is None else "".join(c for c in unicodedata.normalize("NFKD", s) if not unicodedata.combining(c))
+    return names.map(plain, na_action="ignore")
+
+
+def nfkd_slug(name: Column) -> Column:
+    """A slug of the base letters of any accented ones; names without marks beyond ASCII stay in the JVM."""
+    return slug(F.when(name.rlike(r"[^\x{00}-\x{7F}]"), _without_accents(name)).otherwise(name))
+
+
+def word_slug(name: Column) -> Column:
+    """Each character that is no letter or digit of any script becomes an underscore, at the ends none."""
+    s = F.trim(F.regexp_replace(F.lower(F.trim(name)), r"[^\p{L}\p{N}]", "_"), F.lit("_"))
+    return F.when(s == "", F.lit("unnamed")).otherwise(s)
+
+
+def safe_slug(name: Column) -> Column:
+    """Latin letters, digits and Cyrillic ones with single underscores."""
+    s = F.trim(F.regexp_replace(F.lower(name), "[^a-z0-9а-яё]+", "_"), F.lit("_"))
+    return F.when(s == "", F.lit("province")).otherwise(s)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartolith.runtime import materialize
+
 
 def duplicates(df: DataFrame, key: str) -> DataFrame:
     """Keys that stand more than once; null and empty ones don't count."""
@@ -37,20 +39,27 @@ def replace_by_key(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     return old.join(new.select(key).distinct(), key, "left_anti").unionByName(new, allowMissingColumns=True)
 
 
+def numbered(df: DataFrame, order: list[str], out: str = "place") -> DataFrame:
+    """df with each row's place, from 1, in the order of columns that together differ for all rows.
+
+    Rows are dealt to ranges of about equal counts and written; each range is numbered by itself behind the counts of
+    those before it, so that no task holds all rows.
+    """
+    dealt = materialize(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    sizes = dealt.groupBy("_range").agg(F.count("*").alias("_n"))
+    # ranges are as many as partitions; their running sum is one small window
+    before = sizes.select("_range", (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_before"))
+    own = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return dealt.withColumn("_own", own).join(F.broadcast(before), "_range").withColumn(out, F.col("_before") + F.col("_own")).drop("_range", "_before", "_own")
+
+
 def allocate_ids(keys: DataFrame, registry: DataFrame, key: str, order: str) -> DataFrame:
-    """Every key's number: its old one, or the next free ones in the order of first sight. New keys are numbered by
-    range-partitioned counts, so that no task holds all of them."""
+    """Every key's number: its old one, or the next free ones in the order of first sight."""
     seen = keys.groupBy(key).agg(F.min(order).alias("first_seen"))
     joined = seen.join(registry, key, "left")
     top = registry.agg(F.coalesce(F.max("numeric_id"), F.lit(0)).alias("top"))
-    new = joined.where("numeric_id is null").select(key, "first_seen")
-    parts = new.withColumn("bucket", F.floor(F.col("first_seen") / 4096))
-    sizes = parts.groupBy("bucket").agg(F.count("*").alias("n"))
-    # buckets are few against rows; their running sum is one small window
-    before = sizes.select("bucket", (F.sum("n").over(Window.orderBy("bucket")) - F.col("n")).alias("before"))
-    local = F.row_number().over(Window.partitionBy("bucket").orderBy("first_seen", key))
-    fresh = parts.withColumn("_place", local).join(before, "bucket").crossJoin(F.broadcast(top))
-    fresh = fresh.select(key, (F.col("top") + F.col("before") + F.col("_place")).alias("numeric_id"), F.lit(True).alias("is_new"))
+    fresh = numbered(joined.where("numeric_id is null").select(key, "first_seen"), ["first_seen", key]).crossJoin(F.broadcast(top))
+    fresh = fresh.select(key, (F.col("top") + F.col("place")).alias("numeric_id"), F.lit(True).alias("is_new"))
     return joined.where("numeric_id is not null").select(key, "numeric_id", F.lit(False).alias("is_new")).union(fresh)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cartolith.plans import growth, reports, rules, spatial
+from cartolith.plans import growth, places, reports, rules, spatial, surfaces
 
-QUERIES = reports.QUERIES | rules.QUERIES | spatial.QUERIES | growth.QUERIES
-SQL = reports.SQL | rules.SQL | spatial.SQL | growth.SQL
+QUERIES = reports.QUERIES | rules.QUERIES | spatial.QUERIES | growth.QUERIES | places.QUERIES | surfaces.QUERIES
+SQL = reports.SQL | rules.SQL | spatial.SQL | growth.SQL | places.SQL | surfaces.SQL

@@ -143,8 +143,8 @@ def orphan_labels(spark, d):
 
 
 def reconcile_parts(spark, d):
-    p = table(spark, d, "part").select(F.col("p_partkey").alias("id"), F.col("p_size").alias("v")).where("id % 7 <> 0")
-    q = table(spark, d, "part").select(F.col("p_partkey").alias("id"), F.when(F.col("p_partkey") % 11 == 0, F.lit(None)).otherwise(F.col("p_size")).alias("v")).where("id % 5 <> 0")
+    p = table(spark, d, "part").select(F.col("p_partkey").alias("id"), F.col("p_size").alias("v")).where("v > 4")
+    q = table(spark, d, "part").select(F.col("p_partkey").alias("id"), F.when(F.col("p_partkey") % 11 == 0, F.lit(None)).otherwise(F.col("p_size")).alias("v"), "p_size").where("p_size < 47").drop("p_size")
     return tables.reconcile(p, q, "id", ["v"])
 
 
@@ -165,7 +165,7 @@ def argmax_cell(spark, d):
 
 def registry_alloc(spark, d):
     s = table(spark, d, "supplier")
-    reg = s.where("s_suppkey % 3 = 0").select(F.concat(F.lit("k"), "s_suppkey").alias("k"), F.col("s_suppkey").alias("numeric_id"))
+    reg = s.where("s_acctbal > 0").select(F.concat(F.lit("k"), "s_suppkey").alias("k"), F.col("s_suppkey").alias("numeric_id"))
     keys = s.select(F.concat(F.lit("k"), "s_suppkey").alias("k"), F.col("s_suppkey").alias("ord"))
     return tables.allocate_ids(keys, reg, "k", "ord")
 
@@ -177,15 +177,17 @@ def upsert_cells(spark, d):
 
 
 def prefix_join(spark, d):
-    pieces = table(spark, d, "lineitem").select(F.concat_ws("_", F.lit("o"), F.col("l_orderkey") % 50, "l_linenumber", F.col("l_suppkey") % 5).alias("piece")).distinct()
-    targets = table(spark, d, "orders").where("o_orderkey % 2 = 0").select(F.concat_ws("_", F.lit("o"), F.col("o_orderkey") % 50).alias("target"))
-    more = table(spark, d, "lineitem").where("l_linenumber = 1").select(F.concat_ws("_", F.lit("o"), F.col("l_orderkey") % 50, "l_linenumber").alias("target"))
+    """Lines as pieces o_order_line_supplier; orders are their targets, and returned lines targets of their own."""
+    li = table(spark, d, "lineitem")
+    pieces = li.select(F.concat_ws("_", F.lit("o"), "l_orderkey", "l_linenumber", "l_suppkey").alias("piece")).distinct()
+    targets = table(spark, d, "orders").select(F.concat_ws("_", F.lit("o"), "o_orderkey").alias("target"))
+    more = li.where("l_returnflag = 'R'").select(F.concat_ws("_", F.lit("o"), "l_orderkey", "l_linenumber").alias("target"))
     return tables.longest_prefix(pieces, "piece", targets.union(more), "target")
 
 
 def hidden_by_area(spark, d):
     li = table(spark, d, "lineitem")
-    hidden = li.groupBy("l_orderkey").agg(F.sum("l_quantity").alias("area")).where("area < 20 and l_orderkey % 10 <> 0").select("l_orderkey")
+    hidden = li.groupBy("l_orderkey").agg(F.sum("l_quantity").alias("area"), F.bool_or(F.col("l_returnflag") == "A").alias("exempt")).where("area < 20 and not exempt").select("l_orderkey")
     return li.select("l_orderkey", "l_linenumber").join(hidden, "l_orderkey", "left_anti")
 
 
@@ -230,6 +232,7 @@ QUERIES = {f.__name__: f for f in (area_report, region_rollup, area_summary, sta
 _XY = """with p as (select c_custkey, c_custkey * 7919 % 36000 / 100.0::double - 180 as lon, c_custkey * 104729 % 16000 / 100.0::double - 80 as lat from customer),
 w as (select c_custkey, (lon + 180) / 360 * 8192 as x, (0.5 - ln(tan(pi() / 4 + radians(lat) / 2)) / (2 * pi())) * 8192 as y from p)"""
 SQL = {
+    "name_hashes": "with c as (select p_partkey, p_name, list_transform(string_split(p_name, ''), lambda x: unicode(x)::bigint) as u from part) select p_partkey, list_reduce(u, lambda h, x: (h * 33 + x) % 4294967296, 5381::bigint) as djb2, round(list_reduce(u, lambda h, x: (xor(h, x) * 16777619) % 4294967296, 2166136261::bigint) / 4294967295.0::double * 2 - 1, 9) as fnv, round(('0x' || substr(md5(p_name), 1, 8))::bigint / 4294967295.0::double, 9) as unit, round((p_partkey * 0.61803398875::double) % 1, 6) as hue from c",
     "area_report": _REPORT + "select * from report",
     "region_rollup": _REPORT + "select r_name, n_name, count(*) as provinces, round(sum(area_km2), 2) as area, sum(expected) as expected, sum(final) as final, count(*) filter (where final <> expected) as overridden from report where n_name is not null group by all",
     "area_summary": _REPORT + "select count(*) as n, round(sum(area_km2) filter (where area_km2 > 0), 2) as total, min(area_km2) filter (where area_km2 > 0) as least, median(area_km2) filter (where area_km2 > 0) as middle, max(area_km2) filter (where area_km2 > 0) as most, count(*) filter (where status = 'OK') as ok, count(distinct n_name) as regions from report",
@@ -247,14 +250,14 @@ SQL = {
     "collision_levels": "select id, count(distinct level) as levels from (select s_suppkey as id, 's' as level from supplier union all select c_custkey, 'c' from customer) group by id having count(distinct level) > 1",
     "duplicate_pairs": "select least(l_partkey, l_suppkey) as a, greatest(l_partkey, l_suppkey) as b, count(*) as n from lineitem group by 1, 2 having count(*) > 1",
     "orphan_labels": "select doc_id, source from documents where doc_id not in (select doc_id from labels where doc_id is not null)",
-    "reconcile_parts": "with l as (select p_partkey as id, p_size as v from part where p_partkey % 7 <> 0), r as (select p_partkey as id, case when p_partkey % 11 = 0 then null else p_size end as v from part where p_partkey % 5 <> 0), j as (select coalesce(l.id, r.id) as id, case when r.id is null then 'only_left' when l.id is null then 'only_right' when l.v is distinct from r.v then 'mismatch' end as finding from l full join r on l.id = r.id) select * from j where finding is not null",
+    "reconcile_parts": "with l as (select p_partkey as id, p_size as v from part where p_size > 4), r as (select p_partkey as id, case when p_partkey % 11 = 0 then null else p_size end as v from part where p_size < 47), j as (select coalesce(l.id, r.id) as id, case when r.id is null then 'only_left' when l.id is null then 'only_right' when l.v is distinct from r.v then 'mismatch' end as finding from l full join r on l.id = r.id) select * from j where finding is not null",
     "occurrence_ids": "with n as (select p_partkey, p_brand, row_number() over (partition by p_brand order by p_partkey) as n from part) select p_partkey, case when n = 1 then p_brand else p_brand || '_' || n end as new_id from n",
     "top_areas": "select c_nationkey, c_custkey, c_acctbal, cast(row_number() over (partition by c_nationkey order by c_acctbal desc, c_custkey) as int) as rank from customer qualify rank <= 3",
     "argmax_cell": "with n as (select o_custkey, o_orderkey, count(*) over (partition by o_custkey) as cells, row_number() over (partition by o_custkey order by o_totalprice desc, o_orderkey) as r from orders) select o_custkey, o_orderkey as largest, cells from n where r = 1",
-    "registry_alloc": "with reg as (select 'k' || s_suppkey as k, s_suppkey as numeric_id from supplier where s_suppkey % 3 = 0) select 'k' || s_suppkey as k, coalesce(numeric_id, (select max(numeric_id) from reg) + row_number() over (partition by numeric_id is null order by s_suppkey)) as numeric_id, numeric_id is null as is_new from supplier left join reg on reg.k = 'k' || s_suppkey",
+    "registry_alloc": "with reg as (select 'k' || s_suppkey as k, s_suppkey as numeric_id from supplier where s_acctbal > 0) select 'k' || s_suppkey as k, coalesce(numeric_id, (select max(numeric_id) from reg) + row_number() over (partition by numeric_id is null order by s_suppkey)) as numeric_id, numeric_id is null as is_new from supplier left join reg on reg.k = 'k' || s_suppkey",
     "upsert_cells": "select c_custkey as id, c_acctbal as v, null::varchar as note from customer where c_custkey not in (select s_suppkey from supplier) union all select s_suppkey, s_acctbal, s_name from supplier",
-    "prefix_join": "with pieces as (select distinct 'o_' || l_orderkey % 50 || '_' || l_linenumber || '_' || l_suppkey % 5 as piece from lineitem), targets as (select 'o_' || o_orderkey % 50 as target from orders where o_orderkey % 2 = 0 union select 'o_' || l_orderkey % 50 || '_' || l_linenumber from lineitem where l_linenumber = 1), j as (select piece, target, row_number() over (partition by piece order by length(target) desc) as r from pieces join targets on piece = target or starts_with(piece, target || '_')) select piece, target from j where r = 1",
-    "hidden_by_area": "select l_orderkey, l_linenumber from lineitem where l_orderkey not in (select l_orderkey from lineitem where l_orderkey % 10 <> 0 group by l_orderkey having sum(l_quantity) < 20)",
+    "prefix_join": "with p as (select distinct l_orderkey as k, l_linenumber as n, l_suppkey as s from lineitem), t as (select 'o_' || o_orderkey as target from orders union select 'o_' || l_orderkey || '_' || l_linenumber from lineitem where l_returnflag = 'R'), c as (select 'o_' || k || '_' || n || '_' || s as piece, unnest(['o_' || k, 'o_' || k || '_' || n, 'o_' || k || '_' || n || '_' || s]) as target from p) select piece, max_by(target, length(target)) as target from c join t using (target) group by piece",
+    "hidden_by_area": "select l_orderkey, l_linenumber from lineitem where l_orderkey not in (select l_orderkey from lineitem group by l_orderkey having sum(l_quantity) < 20 and not bool_or(l_returnflag = 'A'))",
     "angular_order": "with o as (select o_custkey, o_orderkey, o_orderkey * 7919 % 8192 as x, o_orderkey * 104729 % 8192 as y from orders), a as (select *, round(atan2(y - avg(y) over (partition by o_custkey), x - avg(x) over (partition by o_custkey)), 9) as angle from o) select o_custkey, o_orderkey, cast(row_number() over (partition by o_custkey order by (o_orderkey % 4 <> 0)::int, angle, o_orderkey) as int) as place from a",
     "debounce": "with n as (select *, lead(ts) over (partition by user_id order by ts, event_id) as next_ts from events) select event_id, user_id from n where next_ts is null or epoch_us(next_ts) - epoch_us(ts) > 600000000",
     "event_runs": "with a as (select *, coalesce((event_type <> lag(event_type) over (partition by user_id order by ts, event_id))::int, 1) as new from events), b as (select *, sum(new) over (partition by user_id order by ts, event_id rows unbounded preceding) as run from a) select user_id, cast(run as bigint) as run, event_type, count(*) as n from b group by all",

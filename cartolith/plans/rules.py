@@ -126,7 +126,7 @@ def hierarchy_faults(spark: SparkSession, d: str) -> DataFrame:
 
 def alias_faults(spark: SparkSession, d: str) -> DataFrame:
     """Aliases whose target is missing, and aliases whose source is still a real id."""
-    a = table(spark, d, "part").select(F.col("p_partkey").alias("old"), (F.col("p_partkey") * 3).alias("new")).where("old % 4 = 0")
+    a = table(spark, d, "part").where("p_size > 25").select(F.col("p_partkey").alias("old"), (F.col("p_partkey") * 3).alias("new"))
     s = table(spark, d, "supplier").select(F.col("s_suppkey").alias("old"))
     missing = a.join(table(spark, d, "part").select(F.col("p_partkey").alias("new")), "new", "left_anti").select("old", F.lit("no_target").alias("fault"))
     return missing.union(a.join(s, "old", "left_semi").select("old", F.lit("still_real")))
@@ -179,7 +179,7 @@ SQL = {
     "forbidden_fields": "with k as (select event_id, unnest(json_keys(props)) as field from events where event_type <> 'click') select * from k where field in ('k', 'zone') or starts_with(field, 'zone_')",
     "forbidden_phrases": "with f as (select doc_id, array_to_string(list_filter(['license', 'the ', 'http'], lambda t: contains(lower(text), t)), ',') as found from documents) select * from f where found <> ''",
     "hierarchy_faults": "with c as (select c_custkey, case when c_custkey % 13 = 0 then 99 when c_custkey % 17 <> 0 then c_nationkey end as region, c_custkey % 5 as macro from customer), f as (select c_custkey, case when region is null then 'macro_without_region' when n_nationkey is null then 'no_such_region' when macro <> n_regionkey then 'other_macro' end as fault from c left join nation on n_nationkey = region) select * from f where fault is not null",
-    "alias_faults": "with a as (select p_partkey as old, p_partkey * 3 as new from part where p_partkey % 4 = 0) select old, 'no_target' as fault from a where new not in (select p_partkey from part) union all select old, 'still_real' from a where old in (select s_suppkey from supplier)",
+    "alias_faults": "with a as (select p_partkey as old, p_partkey * 3 as new from part where p_size > 25) select old, 'no_target' as fault from a where new not in (select p_partkey from part) union all select old, 'still_real' from a where old in (select s_suppkey from supplier)",
     "registry_faults": "with s as (select s_suppkey, case when s_suppkey % 9 = 0 then s_suppkey + 1 else s_suppkey end as number, case when s_suppkey % 7 = 0 then 'Province:' else 'province:' end || s_suppkey as derived from supplier), f as (select s_suppkey, concat_ws(',', case when number <> s_suppkey then 'number' end, case when derived <> 'province:' || number then 'derived' end, case when not regexp_matches(derived, '^[a-z][a-z0-9_]*(:[a-z0-9_]+)+$') then 'grammar' end) as fault from s) select * from f where fault <> ''",
     "viewport_diff": "with g as (select user_id, event_id % 16 as tile, bool_or(event_type = 'purchase') as need, bool_or(event_type = 'click') as active from events group by 1, 2) select user_id, tile, case when need then 'load' else 'drop' end as action from g where need <> active",
     "tile_counts": _P + ", z as (select unnest(range(7))::int as z), t as (select z, floor(x / (8192 / pow(2, z))) as tx, floor(y / (8192 / pow(2, z))) as ty, min(c_nationkey) as lo, max(c_nationkey) as hi from p, z group by 1, 2, 3) select z, count(*) as tiles, count(*) filter (where lo < hi) as written from t group by 1",

@@ -19,5 +19,5 @@ def test_components_over_all_edges(spark):
     for a, b in edges:
         lo, hi = sorted((root(a), root(b)))
         up[hi] = lo
-    got = [tuple(r) for r in registry.QUERIES["components_all"](spark, FOLDER).select("node", "component").collect()]
+    got = [tuple(r) for r in registry.QUERIES["components"](spark, FOLDER).select("node", "component").collect()]
     assert len(got) == len(up) and dict(got) == {x: root(x) for x in up}
