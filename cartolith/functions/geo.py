@@ -49,7 +49,7 @@ def ring_area_km2(ring: Column, radius_km: float = 6371.0) -> Column:
 
 def polygon_area(rings: Column, area=ring_area_km2) -> Column:
     """Outer ring less its holes, not below 0."""
-    holes = F.aggregate(F.transform(F.slice(rings, F.lit(2), F.greatest(F.lit(0), F.size(rings) - 1)), area), F.lit(0.0), lambda s, v: s + v)
+    holes = F.aggregate(F.transform(F.slice(rings, F.lit(2), F.greatest(F.lit(0), F.size(rings) - 1)), lambda r: area(r)), F.lit(0.0), lambda s, v: s + v)
     return F.greatest(F.lit(0.0), area(rings[0]) - holes)
 
 

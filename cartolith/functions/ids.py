@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
 def slug(name: Column) -> Column:
@@ -15,18 +16,26 @@ def slug(name: Column) -> Column:
     return F.when(s == "", F.lit("unnamed")).otherwise(s)
 
 
-def plain_slug(name: Column) -> Column:
-    """A slug that keeps the base letters of accented Latin ones."""
-    return slug(F.translate(F.lower(name), "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ", "aaaaaaceeeeiiiinooooouuuuyy"))
-
-
 def name_key(name: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(name), r"\s+", " "))
 
 
+# The grammar of ids, and those of the levels that have one of their own.
+GENERAL_ID = r"^[a-z][a-z0-9_]*(?::[a-z0-9_]+)*$"
+LEVEL_IDS = {
+    "province": r"^province:[0-9]+$",
+    "region": r"^region:[a-z0-9_]+:[a-z0-9_]+$",
+    "macroregion": r"^macroregion:[a-z0-9_]+$",
+    "water_cell": r"^water_cell:[0-9]+$",
+    "water_area": r"^water_area:[a-z0-9_]+(?::[a-z0-9_]+)*$",
+    "water_transition": r"^water_transition:[0-9]+$",
+    "water_land_link": r"^water_land_link:[0-9]+$",
+}
+
+
 def id_ok(key: Column, level: str | None = None) -> Column:
-    """level:part[:part...] of lower-case parts."""
-    return key.rlike(rf"^{level or '[a-z][a-z0-9_]*'}(:[a-z0-9_]+)+$")
+    """Whether an id follows the general grammar, or its level's."""
+    return key.rlike(LEVEL_IDS[level] if level else GENERAL_ID)
 
 
 def djb2(s: Column) -> Column:
@@ -79,11 +88,13 @@ def tile_key(key: Column) -> list[Column]:
     return [F.substring_index(key, "|", 1).cast("int"), *[rest[k].cast("int") for k in range(3)]]
 
 
-@F.pandas_udf("string")
-def _without_accents(names: pd.Series) -> pd.Series:
+def _without_accents(name: Column) -> Column:
     """Compatibility decomposition without the combining marks; Spark has no built-in normal forms."""
-    plain = lambda s: None if s is None else "".join(c for c in unicodedata.normalize("NFKD", s) if not unicodedata.combining(c))
-    return names.map(plain, na_action="ignore")
+
+    def plain(names: pd.Series) -> pd.Series:
+        return names.map(lambda s: "".join(c for c in unicodedata.normalize("NFKD", s) if not unicodedata.combining(c)), na_action="ignore")
+
+    return F.pandas_udf(plain, StringType())(name)
 
 
 def nfkd_slug(name: Column) -> Column:

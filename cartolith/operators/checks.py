@@ -5,21 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cartolith.functions import ids
 from cartolith.operators import tables
 
-# The ids of each level.
-GENERAL_ID = r"^[a-z][a-z0-9_]*(?::[a-z0-9_]+)*$"
-LEVEL_IDS = {
-    "province": r"^province:[0-9]+$",
-    "region": r"^region:[a-z0-9_]+:[a-z0-9_]+$",
-    "macroregion": r"^macroregion:[a-z0-9_]+$",
-    "water_cell": r"^water_cell:[0-9]+$",
-    "water_area": r"^water_area:[a-z0-9_]+(?::[a-z0-9_]+)*$",
-    "water_transition": r"^water_transition:[0-9]+$",
-    "water_land_link": r"^water_land_link:[0-9]+$",
-}
-
-
 def violations(df: DataFrame, key: str, rules: dict[str, Column]) -> DataFrame:
     """(key, rule) for each rule that a row breaks, in one pass; a rule that is null holds."""
     broken = F.array_compact(F.array(*[F.when(~F.coalesce(rule, F.lit(True)), F.lit(name)) for name, rule in rules.items()]))
@@ -28,8 +16,8 @@ def violations(df: DataFrame, key: str, rules: dict[str, Column]) -> DataFrame:
 
 def id_rules(key: Column, level: str | None = None) -> dict[str, Column]:
     """An id is there, follows the general grammar, and that of its level."""
-    out = {"empty_id": key.isNotNull() & (key != ""), "bad_id": (key == "") | key.rlike(GENERAL_ID)}
-    return out | ({f"not_a_{level}_id": (key == "") | key.rlike(LEVEL_IDS[level])} if level else {})
+    out = {"empty_id": key.isNotNull() & (key != ""), "bad_id": (key == "") | ids.id_ok(key)}
+    return out | ({f"not_a_{level}_id": (key == "") | ids.id_ok(key, level)} if level else {})
 
 
 def duplicate_violations(df: DataFrame, key: str, rule: str) -> DataFrame:
@@ -76,8 +64,6 @@ def hierarchy_violations(groups: DataFrame, phrases: tuple[str, ...], known: Dat
     own = violations(groups, "id", rules)
     member = groups.select("id", F.explode("members").alias("m")).distinct()
     twice = member.groupBy("m").agg(F.count("*").alias("n")).where("n > 1").select(F.col("m").alias("key"), F.lit("two_owners").alias("rule"))
-    from cartolith.functions.ids import prefixes
-
-    names = known.select(F.explode(prefixes(F.col("id"))).alias("m")).distinct()
+    names = known.select(F.explode(ids.prefixes(F.col("id"))).alias("m")).distinct()
     lost = member.select("m").distinct().join(names, "m", "left_anti").select(F.col("m").alias("key"), F.lit("unknown_member").alias("rule"))
     return own.union(duplicate_violations(groups, "id", "duplicate_id")).union(twice).union(lost)

@@ -244,7 +244,7 @@ SQL = {
     "classes": "select case when l_quantity * 15 <= 90 then 'coastal' when l_quantity * 15 <= 220 then 'dense_sea' when l_quantity * 15 <= 500 then 'regional_sea' else 'ocean_transition' end as band, cast(case when l_quantity <= 2 then 1 when l_quantity <= 5 then 2 when l_quantity <= 8 then 3 end as int) as tier, cast(case when l_quantity * 15 <= 90 then 1.0 when l_quantity * 15 <= 240 then 0.72 else 0.46 end as double) as keep, count(*) as n, round(avg(round(greatest(0, least(100, 100 * (1 - (l_discount - 0.02) / 0.06))), 6)), 4) as score from lineitem group by 1, 2, 3",
     "complexity_count": "select p_partkey, cast(least(6, greatest(2, round_even(p_retailprice * greatest(0.85, least(1.35, 1.05::double * case when p_size < 10 then 1.0::double when p_size < 25 then 1.05 when p_size < 40 then 1.12 else 1.18 end)) / 450, 0))) as int) as cells from part",
     "codec16": "with v as (select c_custkey, cast(round_even(greatest(0.0, least(1.0, (c_acctbal + 1000) / 11000)) * 65535, 0) as int) as v from customer) select c_custkey, cast(v // 256 as int) as hi, cast(v % 256 as int) as lo, round(v / 65535 * 11000 - 1000, 3) as decoded from v",
-    "slugs": r"with s as (select *, trim(regexp_replace(lower(p_name), '[^a-z0-9]+', '_', 'g'), '_') as t from part), u as (select *, case when t = '' then 'unnamed' else t end as slug from s) select p_partkey, slug, trim(regexp_replace(lower(p_name), '\s+', ' ', 'g')) as name_key, regexp_matches('part:' || slug, '^[a-z][a-z0-9_]*(:[a-z0-9_]+)+$') as ok, printf('land_cell:%d:%02d', p_partkey, p_size) as cell_id from u",
+    "slugs": r"with s as (select *, trim(regexp_replace(lower(p_name), '[^a-z0-9]+', '_', 'g'), '_') as t from part), u as (select *, case when t = '' then 'unnamed' else t end as slug from s) select p_partkey, slug, trim(regexp_replace(lower(p_name), '\s+', ' ', 'g')) as name_key, regexp_matches('part:' || slug, '^[a-z][a-z0-9_]*(:[a-z0-9_]+)*$') as ok, printf('land_cell:%d:%02d', p_partkey, p_size) as cell_id from u",
     "url_parts": "select page_id, array_to_string(string_split(url, '/')[1:3], '/') as site, regexp_matches(url, '^https?://[^/]+') as is_http, cast(len(string_split(url, '/')) as int) as parts from pages",
     "duplicate_names": "select p_name, count(*) as times from part where p_name is not null and p_name <> '' group by p_name having count(*) > 1",
     "collision_levels": "select id, count(distinct level) as levels from (select s_suppkey as id, 's' as level from supplier union all select c_custkey, 'c' from customer) group by id having count(distinct level) > 1",

@@ -85,13 +85,15 @@ def polygons(data: bytes) -> Iterator[tuple[int, list[list[list[float]]]]]:
 
 
 def attributes(data: bytes, encoding: str) -> Iterator[tuple[int, dict[str, str]]]:
-    """Record number and attributes for each row of a .dbf file."""
+    """Record number and attributes for each row of a .dbf file that is not marked as deleted."""
     rows, head, width = struct.unpack_from("<IHH", data, 4)
     fields, at = [], 32
     while data[at] != 0x0D:
         fields.append((data[at : at + 11].split(b"\0")[0].decode("ascii"), data[at + 16]))
         at += 32
     for k in range(rows):
+        if data[head + k * width : head + k * width + 1] == b"*":
+            continue
         place, found = head + k * width + 1, {}
         for name, size in fields:
             found[name] = data[place : place + size].decode(encoding).strip()

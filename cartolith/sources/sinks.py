@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,13 +16,37 @@ BLOCK = 8000
 
 
 def write_document(df: DataFrame, path: str, container: str, order: str, **meta: object) -> None:
-    """One JSON document with meta and the ordered rows under container, as a single text file in the folder path.
+    """One JSON document with meta and the ordered rows under container, as the one file of the folder path.
 
-    A document is read as a whole by whoever reads it, so this is for layers; larger tables are written as Parquet.
+    Rows are sorted and written as lines in parallel; the driver then joins the parts by copying streams, so that no
+    task and no program holds the document.
     """
-    items = F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("_o"), F.struct(*df.columns).alias("_r")))), lambda x: x["_r"])
-    one = df.agg(F.to_json(F.struct(*[F.lit(v).alias(k) for k, v in meta.items()], items.alias(container))).alias("value"))
-    one.write.mode("overwrite").option("lineSep", "\n").text(path)
+    spark, (head, tail) = df.sparkSession, _frame(container, meta)
+    jvm = spark._jvm
+    as_path, conf = jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    staging = f"{path}-{uuid.uuid4().hex}"
+    df.orderBy(order).select(F.concat(F.lit(","), F.to_json(F.struct(*df.columns))).alias("value")).write.option("lineSep", "\n").text(staging)
+    fs = as_path(path).getFileSystem(conf)
+    fs.delete(as_path(path), True)
+    out = fs.create(as_path(f"{path}/part-00000.txt"))
+    out.write(head.encode())
+    first = True
+    for part in sorted(str(f.getPath()) for f in fs.listStatus(as_path(staging)) if f.getPath().getName().startswith("part-") and f.getLen()):
+        source = fs.open(as_path(part))
+        if first:
+            source.read()  # no comma before the first row
+            first = False
+        jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, conf, False)
+        source.close()
+    out.write(tail.encode())
+    out.close()
+    fs.delete(as_path(staging), True)
+
+
+def _frame(container: str, meta: dict[str, object]) -> tuple[str, str]:
+    """What stands before and behind the rows of a document."""
+    before = json.dumps(meta | {container: []}, ensure_ascii=False)
+    return before[:-2] + "\n", "]}\n"
 
 
 def features(df: DataFrame) -> DataFrame:
@@ -76,34 +103,65 @@ def block_manifest(blocks: DataFrame) -> DataFrame:
     return g.agg(F.min("row").alias("row0"), F.min("col").alias("col0"), (F.max("in_row") + 1).alias("height"), (F.max("in_col") + 1).alias("width"))
 
 
-def bundle_faults(bundles: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
+#: Fixed value: the first bytes of a PNG file.
+PNG = bytes([0x89, 0x50, 0x4E, 0x47, 0x0D, 0x0A, 0x1A, 0x0A])
+
+
+def is_png(data: Column) -> Column:
+    """Whether bytes begin and end as a PNG file does."""
+    return (F.substring(F.hex(data), 1, 16) == PNG.hex().upper()) & F.hex(data).endswith("49454E44AE426082")
+
+
+def tiles_digest(tiles: DataFrame) -> DataFrame:
+    """z, count, digest of tiles (z, x, y, data): what a manifest says; the digest does not hang on the order."""
+    own = F.xxhash64("x", "y", "data")
+    return tiles.groupBy("z").agg(F.count("*").alias("count"), F.lower(F.hex(F.bit_xor(own))).alias("digest"))
+
+
+def bundle_faults(bundles: dict[str, tuple[DataFrame, DataFrame]], readable: Callable[[Column], Column] | None = None) -> DataFrame:
     """bundle, z, expected, found wherever a bundle's tiles (z, x, y, data) are not what its manifest (z, count) says.
 
-    A tile without data counts as not found.
+    A tile without data, or whose data readable() denies, counts as not found. Where the manifest has a digest column
+    (tiles_digest), a zoom whose tiles have another digest counts as found -1.
     """
+    good = F.length("data") > 0 if readable is None else (F.length("data") > 0) & readable(F.col("data"))
 
     def one(name: str, tiles: DataFrame, said: DataFrame) -> DataFrame:
-        have = tiles.where(F.length("data") > 0).groupBy("z").agg(F.count("*").alias("found"))
-        both = said.select("z", F.col("count").alias("expected")).join(have, "z", "full")
-        return both.na.fill(0, ["expected", "found"]).where("expected <> found").select(F.lit(name).alias("bundle"), "z", "expected", "found")
+        have = tiles_digest(tiles.where(good)).withColumnsRenamed({"count": "found", "digest": "own"})
+        said = said if "digest" in said.columns else said.withColumn("digest", F.lit(None).cast("string"))
+        both = said.select("z", F.col("count").alias("expected"), "digest").join(have, "z", "full").na.fill(0, ["expected", "found"])
+        found = F.when((F.col("expected") == F.col("found")) & (F.col("digest") != F.col("own")), F.lit(-1)).otherwise(F.col("found"))
+        return both.select(F.lit(name).alias("bundle"), "z", "expected", found.alias("found")).where("expected <> found")
 
     return reduce(DataFrame.union, [one(n, *b) for n, b in bundles.items()])
 
 
-def publish(spark: SparkSession, bundles: dict[str, tuple[DataFrame, DataFrame]], path: str) -> None:
-    """Write every bundle under path, but none before all agree with their manifests.
+def publish(spark: SparkSession, bundles: dict[str, tuple[DataFrame, DataFrame]], path: str, readable: Callable[[Column], Column] | None = None) -> None:
+    """Make the bundles the release at path, but only if all agree with their manifests.
 
-    Bundles go to a staging folder first and are renamed once complete, so readers see the old release or the new one.
+    The whole release is written beside path and checked again as written. Then the old release is moved aside and the
+    new one into its place; if that fails, the old one comes back. It is deleted last, so one of the two is always there.
     """
-    bad = bundle_faults(bundles).orderBy("bundle", "z").limit(5).collect()
+    bad = bundle_faults(bundles, readable).orderBy("bundle", "z").limit(5).collect()
     if bad:
         raise ValueError(f"not published: {[r.asDict() for r in bad]}")
-    for name, (tiles, _) in bundles.items():
-        tiles.write.mode("overwrite").partitionBy("z").parquet(f"{path}/_staging/{name}")
     as_path = spark._jvm.org.apache.hadoop.fs.Path
     fs = as_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    for name in bundles:
-        fs.delete(as_path(f"{path}/{name}"), True)
-        if not fs.rename(as_path(f"{path}/_staging/{name}"), as_path(f"{path}/{name}")):
-            raise OSError(f"could not move {name}")
-    fs.delete(as_path(f"{path}/_staging"), True)
+    new, old = f"{path}-new-{uuid.uuid4().hex}", f"{path}-old-{uuid.uuid4().hex}"
+    try:
+        for name, (tiles, _) in bundles.items():
+            tiles.write.partitionBy("z").parquet(f"{new}/{name}")
+        written = {n: (spark.read.schema(t.schema).parquet(f"{new}/{n}"), said) for n, (t, said) in bundles.items()}
+        bad = bundle_faults(written, readable).limit(5).collect()
+        if bad:
+            raise OSError(f"not published, written otherwise: {[r.asDict() for r in bad]}")
+        there = fs.exists(as_path(path))
+        if there and not fs.rename(as_path(path), as_path(old)):
+            raise OSError(f"could not move {path} aside")
+        if not fs.rename(as_path(new), as_path(path)):
+            if there:
+                fs.rename(as_path(old), as_path(path))
+            raise OSError(f"could not move the release to {path}")
+    finally:
+        fs.delete(as_path(new), True)
+    fs.delete(as_path(old), True)

@@ -93,3 +93,34 @@ def test_publish(spark, tmp_path):
     sinks.publish(spark, {"deep": (tiles, good)}, str(tmp_path / "out"))
     assert spark.read.parquet(str(tmp_path / "out" / "deep")).count() == 2
     assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["deep"]
+
+
+def test_documents_in_parts(spark, tmp_path):
+    sinks.write_document(spark.range(1000).repartition(7).selectExpr("id", "concat('n', id) as name"), str(tmp_path / "d"), "items", "id", note="é")
+    (file,) = [p for p in (tmp_path / "d").iterdir() if not p.name.startswith(".")]
+    assert json.loads(file.read_text(encoding="utf-8")) == {"note": "é", "items": [{"id": k, "name": f"n{k}"} for k in range(1000)]}
+    sinks.write_document(spark.range(0), str(tmp_path / "d"), "items", "id")
+    assert json.loads((tmp_path / "d" / "part-00000.txt").read_text()) == {"items": []}
+    assert [p.name for p in tmp_path.iterdir()] == ["d"]
+
+
+def test_publish_digests_and_replaces(spark, tmp_path):
+    png = sinks.PNG + b"x" + bytes.fromhex("49454E44AE426082")
+    tiles = spark.createDataFrame([(1, 0, 0, png), (1, 1, 0, png + b"")], "z int, x int, y int, data binary")
+    other = spark.createDataFrame([(1, 0, 0, png), (1, 2, 0, png)], "z int, x int, y int, data binary")
+    broken = spark.createDataFrame([(1, 0, 0, png), (1, 1, 0, b"GIF")], "z int, x int, y int, data binary")
+    said, out = sinks.tiles_digest(tiles), str(tmp_path / "out")
+    sinks.publish(spark, {"deep": (tiles, said)}, out, sinks.is_png)
+    for wrong in (other, broken):
+        with pytest.raises(ValueError, match="not published"):
+            sinks.publish(spark, {"deep": (wrong, said)}, out, sinks.is_png)
+    assert spark.read.parquet(f"{out}/deep").count() == 2
+    sinks.publish(spark, {"deep": (other, sinks.tiles_digest(other)), "shelf": (tiles, said)}, out)
+    assert sorted(r.x for r in spark.read.parquet(f"{out}/deep").collect()) == [0, 2]
+    assert [p.name for p in tmp_path.iterdir()] == ["out"]
+
+
+def test_deleted_rows_of_a_table():
+    field = b"n".ljust(11, b"\0") + b"C" + bytes(4) + bytes([2, 0]) + bytes(14)
+    data = struct.pack("<B3BIHH20x", 3, 0, 0, 0, 3, 65, 3) + field + b"\r" + b" a *b  c "
+    assert list(files.attributes(data, "latin-1")) == [(1, {"n": "a"}), (3, {"n": "c"})]
