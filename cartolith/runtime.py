@@ -87,8 +87,15 @@ def temporary(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]
             _open[-1] += kept
 
 
+#: Bytes of an Arrow batch that goes to a Python worker; the default of 64 MB is held several times over by each task.
+ARROW_BYTES = 4 << 20
+_ARROW = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def ship(spark: SparkSession) -> None:
-    """Give the workers this package, wherever the driver found it."""
+    """Give the workers this package, wherever the driver found it, and batches of ARROW_BYTES unless others are set."""
+    if _ARROW not in spark.conf.getAll:
+        spark.conf.set(_ARROW, str(ARROW_BYTES))
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
