@@ -6,8 +6,8 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from cartolith.functions import geo, ids
-from cartolith.operators import rasters
+from cartolith.functions import geo, ids, shapes
+from cartolith.operators import layers, rasters
 
 
 def line(points):
@@ -123,3 +123,65 @@ def test_mask_of_a_ring_with_a_hole(spark, step):
 
     n = int(12 / step)
     assert got == {(r, c) for r in range(n) for c in range(n) if inside(outer, (c + 0.5) * step, (r + 0.5) * step) and not inside(hole, (c + 0.5) * step, (r + 0.5) * step)}
+
+
+def test_thinned_is_dart_throwing_in_hash_order(spark):
+    """No two points are too near, none could be added, and each that went has a nearer one of smaller hash."""
+    import random
+
+    rng = random.Random(3)
+    rows = [(k, rng.uniform(0, 60), rng.uniform(0, 60)) for k in range(300)]
+    frame = spark.createDataFrame(rows, "id long, x double, y double")
+    hashes = {r.id: r.h for r in frame.select("id", F.xxhash64("id").alias("h")).collect()}
+    stay = []
+    for k, x, y in sorted(rows, key=lambda r: (hashes[r[0]], r[0])):
+        if all((x - a) ** 2 + (y - b) ** 2 >= 36 for _, a, b in stay):
+            stay.append((k, x, y))
+    assert sorted(r.id for r in layers.thinned(frame, 6.0).collect()) == sorted(k for k, *_ in stay)
+
+
+def test_shortest_path_goes_around(spark):
+    edges = [(1, 2, 1.0), (2, 3, 1.0), (3, 9, 1.0), (1, 4, 2.0), (4, 9, 2.0), (5, 6, 1.0)]
+    frame = spark.createDataFrame(edges, "a long, b long, w double")
+    assert [(r.place, r.node, r.cost) for r in layers.shortest_path(frame, 1, 9).collect()] == [(0, 1, 0.0), (1, 2, 1.0), (2, 3, 2.0), (3, 9, 3.0)]
+    around = layers.shortest_path(frame, 1, 9, spark.createDataFrame([(2,)], "node long"))
+    assert [r.node for r in around.collect()] == [1, 4, 9]
+    assert layers.shortest_path(frame, 1, 6).collect() == []
+
+
+def test_jittered_grid_and_hue(spark):
+    every = layers.jittered_grid(spark, 10.0, 4, 3, lambda x, y: F.lit(1.0)).collect()
+    assert sorted((int(r.x // 10), int(r.y // 10)) for r in every) == [(i, j) for i in range(4) for j in range(3)]
+    assert layers.jittered_grid(spark, 10.0, 40, 30, lambda x, y: F.lit(0.0)).count() == 0
+    assert 400 < layers.jittered_grid(spark, 10.0, 40, 30, lambda x, y: F.lit(0.5)).count() < 800
+
+
+def test_voronoi_cells_cover_the_frame(spark):
+    import random
+
+    rng = random.Random(5)
+    sites = [(k, rng.uniform(0, 100), rng.uniform(0, 60)) for k in range(25)]
+    frame = [(0, 0), (100, 0), (100, 60), (0, 60)]
+    others = F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for _, x, y in sites])
+    cells = spark.createDataFrame(sites, "id long, x double, y double").select("id", shapes.voronoi_cell(F.col("x"), F.col("y"), others, line(frame)).alias("r"))
+    rows = cells.select("id", "r", (F.abs(geo.shoelace(F.col("r"))) / 2).alias("a")).collect()
+    assert math.isclose(sum(r.a for r in rows), 6000, rel_tol=1e-9)
+    for r in rows:
+        _, x, y = sites[r.id]
+        for p in r.r:
+            own = math.dist((x, y), (p.x, p.y))
+            assert all(own <= math.dist((a, b), (p.x, p.y)) + 1e-6 for _, a, b in sites)
+
+
+def test_simplified_and_roughened(spark):
+    points = [(k, math.sin(k / 3) * 5 + (k % 2) * 0.1) for k in range(60)]
+    got = [tuple(p) for p in one(spark, shapes.simplified(line(points), 0.5))]
+    assert got[0] == points[0] and got[-1] == points[-1] and 5 < len(got) < 40 and set(got) <= set(points)
+
+    def off(p, a, b):
+        t = max(0.0, min(1.0, ((p[0] - a[0]) * (b[0] - a[0]) + (p[1] - a[1]) * (b[1] - a[1])) / math.dist(a, b) ** 2))
+        return math.dist(p, (a[0] + t * (b[0] - a[0]), a[1] + t * (b[1] - a[1])))
+
+    assert all(min(off(p, a, b) for a, b in zip(got, got[1:], strict=False)) <= 0.5 for p in points)
+    there, back = ([tuple(p) for p in one(spark, shapes.roughened(line(v), 0.3))] for v in (points[:5], points[:5][::-1]))
+    assert len(there) == 33 and all(math.dist(a, b) < 1e-9 for a, b in zip(there, back[::-1], strict=True)) and there[::8] == points[:5]
