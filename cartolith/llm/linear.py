@@ -90,14 +90,16 @@ def _sparse(batches: Iterator[pa.RecordBatch], of: Callable[[Chunk], np.ndarray]
 def ftrl(rows: list, dims: int, epochs: int = 4, alpha: float = 0.6, beta: float = 0.5, l1: float = 0.02, l2: float = 0.02, scale: float = 6.0) -> np.ndarray:
     """Weights of a logistic regression, the bias last. rows: (label, feature numbers, counts), in a fixed order."""
     z, n = np.zeros(dims + 1), np.zeros(dims + 1)
-    ready = [(float(y), np.append(x, dims), np.append(scale * c / c.sum() if len(c) else c, 1.0)) for y, x, c in rows]
     weight = lambda z, n: np.where(np.abs(z) <= l1, 0, -(z - np.sign(z) * l1) / ((beta + np.sqrt(n)) / alpha + l2))
     for _ in range(epochs):
-        for y, i, x in ready:
+        for y, names, counts in rows:
+            # made anew each time: rows stay as small as they came
+            i = np.append(names, np.array([dims], names.dtype))
+            x = np.append(counts * (scale / max(counts.sum(), 1)), 1.0)
             zi, ni = z[i], n[i]
             w = weight(zi, ni)
             p = 1 / (1 + np.exp(-np.clip(w @ x, -35, 35)))
-            g = (p - y) * x
+            g = (p - float(y)) * x
             z[i] = zi + g - (np.sqrt(ni + g * g) - np.sqrt(ni)) / alpha * w
             n[i] = ni + g * g
     return weight(z, n).astype(np.float32)
@@ -113,7 +115,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", t
     rows = _texts(docs, _labelled(labels, id_col, label_col, usable), id_col, text_col, max_train)
     rows = rows.mapInArrow(lambda it: _sparse(it, quality_features), f"id {dict(rows.dtypes)['id']}, y int, x binary, n binary").collect()
     rows.sort(key=lambda r: (zlib.crc32(str(r["id"]).encode()), str(r["id"])))
-    return ftrl([(r["y"], np.frombuffer(r["x"], "<u4").astype(np.int64), np.frombuffer(r["n"], "<u4").astype(float)) for r in rows], 1 << BITS, scale=SCALE)
+    return ftrl([(r["y"], np.frombuffer(r["x"], "<u4"), np.frombuffer(r["n"], "<u4")) for r in rows], 1 << BITS, scale=SCALE)
 
 
 def _quality_scores(column: pa.Array, w: np.ndarray) -> np.ndarray:

@@ -39,6 +39,8 @@ SHINGLE, SYMBOLS, CHUNKS = 5, 64, 12
 ERRORS = 2 * CHUNKS - 1
 PERCENT = 85
 ROUNDS = 2
+#: Bytes of text whose hashes are in memory at once
+PIECE = 1 << 18
 #: The largest bitmap of involved rows that is broadcast
 MAP_BYTES = 1 << 26
 #: The largest chance that two signatures of a linked pair differ in more symbols than the keys allow for
@@ -121,7 +123,7 @@ def profiles(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     def run(batches):
         for b in batches:
-            for c in chunks(b.column(1)):
+            for c in chunks(b.column(1), PIECE):
                 sets = shingle_sets(c)
                 n = np.array([len(s) for s in sets])
                 some = [s for s in sets if len(s)]
@@ -137,13 +139,13 @@ def profiles(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, n long, s1 long, s2 long, sig binary")
 
 
-def _keys(batches, chunk_count: int = CHUNKS):
-    for b in batches:
-        if not b.num_rows:
-            continue
-        sig = np.frombuffer(b"".join(b.column("sig").to_pylist()), "<u2").reshape(-1, SYMBOLS)
-        take = pa.array(np.repeat(np.arange(b.num_rows), SYMBOLS))
-        yield pa.RecordBatch.from_arrays([pa.array(row_keys(sig, chunk_count).reshape(-1).view(np.int64)), b.column("id").take(take)], ["key", "id"])
+def _keys(batches, chunk_count: int = CHUNKS, rows: int = 2048):
+    for whole in batches:
+        for lo in range(0, whole.num_rows, rows):
+            b = whole.slice(lo, rows)
+            sig = np.frombuffer(b"".join(b.column("sig").to_pylist()), "<u2").reshape(-1, SYMBOLS)
+            take = pa.array(np.repeat(np.arange(b.num_rows), SYMBOLS))
+            yield pa.RecordBatch.from_arrays([pa.array(row_keys(sig, chunk_count).reshape(-1).view(np.int64)), b.column("id").take(take)], ["key", "id"])
 
 
 def _sets(batches, wanted=None):
@@ -152,7 +154,7 @@ def _sets(batches, wanted=None):
         if wanted is not None:
             h = b.column("h").to_numpy(zero_copy_only=False).astype(np.int64).view(U64)
             b = b.filter(pa.array(wanted(None, h)))
-        for c in chunks(b.column("text")):
+        for c in chunks(b.column("text"), PIECE):
             sets = shingle_sets(c)
             offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
             odd = np.stack([odd_sketch(s) for s in sets])
