@@ -33,9 +33,9 @@ def exact_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     rows = materialize(digest_rows(docs, id_col, text_col))
     top = rows.select(F.xxhash64("digest").alias("h")).agg(F.expr(f"approx_top_k(h, {heavy}, {tracked})").alias("top"), F.count("*").alias("total"))
     hot = top.select("total", F.inline("top").alias("h", "times")).where("times > 32 and times > total / 4096").select("h")
-    order = F.struct(F.col("n"), F.col("id").isNotNull().alias("known"), (-F.coalesce("id", F.lit(0))).alias("back"))
+    order = F.struct((-F.col("n")).alias("n"), F.col("id").isNull().alias("unknown"), "id")
     mine = rows.join(F.broadcast(hot), F.xxhash64("digest") == F.col("h"), "left_semi")
-    won = materialize(mine.groupBy("digest").agg(F.max_by("id", order).alias("keep_id"), F.count("*").alias("group_size")))
+    won = materialize(mine.groupBy("digest").agg(F.min_by("id", order).alias("keep_id"), F.count("*").alias("group_size")))
     marked = rows.join(F.broadcast(won), "digest", "left")
     every = Window.partitionBy("digest").orderBy(F.desc("n"), F.asc_nulls_last("id")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     rest = rows.join(F.broadcast(won.select("digest")), "digest", "left_anti")

@@ -387,6 +387,21 @@ def test_substrings_ids(spark):
         assert sorted((r.doc_id, r.n_removed) for r in twice) == [(1, 0), (1, 0), (1, 0), (2, 0), (2, 40)]
 
 
+def test_exact_ids_of_text(spark):
+    """The hot path and the ordinary one choose the same winners, for ids of any ordered type."""
+    rows = [(f"id{k % 90:02}", " same" * (k % 4 == 0) + " same" if k % 3 else f"text {k % 40}") for k in range(400)] + [(None, "same  same  ")]
+    frame = spark.createDataFrame(rows, "doc_id string, text string")
+    got = sorted(map(str, exact.exact_groups(frame).collect()))
+    assert got == sorted(map(str, exact.exact_groups(frame, heavy=1).collect()))
+    best = {}
+    for i, t in rows:
+        key = re.sub(r"[\x20\x09-\x0D]", "", t)
+        best[key] = min(best.get(key, (0, True, "")), (-len(t), i is None, i or ""))
+    for r in exact.exact_groups(frame).collect():
+        (key,) = [k for k in best if hashlib.sha256(k.encode()).hexdigest() == r.text_sha256]
+        assert (r.keep_id or "") == best[key][2]
+
+
 # --- models ---------------------------------------------------------------------------------------------------------
 
 
