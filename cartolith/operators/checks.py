@@ -67,3 +67,22 @@ def hierarchy_violations(groups: DataFrame, phrases: tuple[str, ...], known: Dat
     names = known.select(F.explode(ids.prefixes(F.col("id"))).alias("m")).distinct()
     lost = member.select("m").distinct().join(names, "m", "left_anti").select(F.col("m").alias("key"), F.lit("unknown_member").alias("rule"))
     return own.union(duplicate_violations(groups, "id", "duplicate_id")).union(twice).union(lost)
+
+
+def document_violations(spark, documents: dict[str, bool], versioned: tuple[str, ...] = ()) -> DataFrame:
+    """(key, rule) for paths that are not there (required: true, else a warning) or lack a schema_version where one is due."""
+    jvm, found = spark._jvm, []
+    for path, needed in documents.items():
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+            found.append((path, "missing" if needed else "warning_missing"))
+        elif any(part in path for part in versioned) and "schema_version" not in spark.read.option("multiLine", True).json(path).columns:
+            found.append((path, "no_schema_version"))
+    return spark.createDataFrame(found, "key string, rule string")
+
+
+def scenario_violations(states: DataFrame, provinces: DataFrame, forbidden: tuple[str, ...]) -> DataFrame:
+    """(key, rule) for states (province_id, raw json): empty, unknown and repeated provinces, and forbidden fields."""
+    fields = F.map_keys(F.from_json("raw", "map<string,string>"))
+    own = violations(states, "province_id", {"empty_province_id": F.trim(F.coalesce("province_id", F.lit(""))) != "", "forbidden_field": ~F.arrays_overlap(F.coalesce(fields, F.array().cast("array<string>")), F.array(*map(F.lit, forbidden)))})
+    return own.union(orphan_violations(states, "province_id", provinces, "id", "unknown_province")).union(duplicate_violations(states, "province_id", "duplicate_province_id"))

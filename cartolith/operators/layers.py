@@ -181,3 +181,39 @@ def ring_windows(points: DataFrame, ring: str, order: str, columns: tuple[str, .
     for c in columns:
         out = out.withColumn(f"prev_{c}", F.coalesce(F.lag(c).over(w), F.last(c).over(all_))).withColumn(f"next_{c}", F.coalesce(F.lead(c).over(w), F.first(c).over(all_)))
     return out
+
+
+def island_filter(pieces: DataFrame, area: str, least: float, soft: Column, least_soft: float, names: DataFrame, countries: tuple, zone: Column, top: DataFrame) -> DataFrame:
+    """pieces (name, country, area, ...) without the small ones that nothing protects.
+
+    least holds outside of soft places, least_soft inside. Protected are listed names (name), countries and zones, and
+    of countries in top (country, n) the pieces that bear the name of one of the n largest; names compare in lower case.
+    """
+    low = lambda c: F.lower(F.trim(F.coalesce(F.col(c).cast("string"), F.lit(""))))
+    ranked = pieces.join(top, "country").withColumn("_r", F.row_number().over(Window.partitionBy("country").orderBy(F.desc(area), "name")))
+    best = ranked.where("_r <= n").select("country", low("name").alias("_best")).distinct()
+    j = pieces.withColumn("_low", low("name"))
+    j = j.join(names.select(low("name").alias("_low")).distinct().withColumn("_listed", F.lit(True)), "_low", "left")
+    j = j.join(best.withColumnRenamed("_best", "_low").withColumn("_top", F.lit(True)), ["country", "_low"], "left")
+    safe = F.coalesce("_listed", F.lit(False)) | F.coalesce("_top", F.lit(False)) | F.col("country").isin(*countries) | zone
+    return j.where(safe | (F.col(area) >= F.when(soft, least_soft).otherwise(least))).select(pieces.columns)
+
+
+def zone_shapes(atoms: DataFrame, sides: DataFrame) -> DataFrame:
+    """zone, atoms, area, outline, compactness of zones that atoms (id, zone, area) add up to.
+
+    sides are (a, b, length) between atoms, b null at the outside; those inside a zone are no outline.
+    """
+    of = lambda x: atoms.select(F.col("id").alias(x), F.col("zone").alias(f"z_{x}"))
+    s = sides.join(of("a"), "a", "left").join(of("b"), "b", "left").where("not (z_a <=> z_b)")
+    outline = s.select(F.col("z_a").alias("zone"), "length").union(s.select("z_b", "length")).where("zone is not null").groupBy("zone").agg(F.sum("length").alias("outline"))
+    g = atoms.groupBy("zone").agg(F.count("*").alias("atoms"), F.sum("area").alias("area")).join(outline, "zone", "left")
+    return g.select("zone", "atoms", "area", F.coalesce("outline", F.lit(0.0)).alias("outline"), geo.compactness(F.col("area"), F.coalesce("outline", F.lit(0.0))).alias("compactness"))
+
+
+def split_quality(share: Column, wanted: Column, border: Column, total: Column, compact: tuple[Column, Column], radius: tuple[Column, Column], size: tuple[Column, Column]) -> Column:
+    """How bad a division of pixels in two is: balance, border length, compactness and thinness, by fixed weights."""
+    # Weights of balance, border, compactness and thinness, and the thickness below which a part is thin.
+    balance, along, dense, thin, least = 6.0, 0.42, 0.70, 10.0, 0.12
+    slack = sum((F.greatest(F.lit(0.0), F.lit(least) - r / F.greatest(F.sqrt(F.greatest(n, F.lit(1))), F.lit(1.0))) for r, n in zip(radius, size, strict=True)), F.lit(0.0))
+    return F.abs(share - wanted) * balance + border / F.greatest(F.sqrt(total), F.lit(1.0)) * along + (2 - compact[0] - compact[1]) * dense + slack * thin

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cartolith.functions import geo, scores
-from cartolith.operators import layers, rasters
+from cartolith.operators import checks, layers, rasters
 from cartolith.plans import growth, places, surfaces
 from cartolith.runtime import table
 
@@ -48,7 +48,7 @@ def division_report(spark, d):
 
 
 def one_way_neighbours(spark, d):
-    p = table(spark, d, "lineitem").select((F.col("l_suppkey") % 40).alias("a"), (F.col("l_partkey") % 40).alias("b")).distinct()
+    p = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("a"), F.col("l_partkey").alias("b")).distinct()
     return layers.asymmetric(p)
 
 
@@ -121,17 +121,64 @@ def marine_features(spark, d):
     return layers.of_classes(p, "p_type", kinds, ("name_en", "label"), "?").select("p_partkey", "name")
 
 
-QUERIES = {f.__name__: f for f in (changed_cells, painted_cells, whole_order_areas, kept_partitions, review_queue, division_report, one_way_neighbours, enemy_cuts, cheapest_path_cost, thinned_places, seed_grid, relaxed_centres, hairpins, small_cell_markers, content_tiles, border_lines, aliased_cells, marine_features)}
+def kept_islands(spark, d):
+    """Customers as pieces: small balances go unless their name, nation or place protects them, or they are their nation's largest."""
+    k = F.col("c_custkey")
+    p = table(spark, d, "customer").select(k.alias("id"), F.concat(F.lit("Isle "), k % 97).alias("name"), F.col("c_nationkey").alias("country"), F.col("c_acctbal").cast("double").alias("area"), (k * 7919 % 360 - 180).alias("lon"), (k * 104729 % 180 - 90).alias("lat"))
+    names = spark.createDataFrame([("ISLE 5",), (" isle 7 ",)], "name string")
+    top = spark.createDataFrame([(3, 2), (4, 1)], "country long, n int")
+    lon, lat = F.col("lon"), F.col("lat")
+    kept = layers.island_filter(p, "area", 3000.0, lon.between(-90, -60) & lat.between(10, 28), 1000.0, names, (1, 2), lon.between(100, 140) & lat.between(-10, 10), top)
+    return kept.select("id", "area")
+
+
+def zone_figures(spark, d):
+    """Bricks of 30 by 10 as atoms of zones by their size; their outlines from shared and outer sides."""
+    b = table(spark, d, "part").select(F.col("p_partkey").alias("id"), (F.col("p_size") % 5).alias("zone"), F.lit(300.0).alias("area"))
+    inner = places.shared_borders_free(spark, d).select("a", "b", "length")
+    return layers.zone_shapes(b, inner).select("zone", "atoms", "area", F.round("outline", 4).alias("outline"), F.round("compactness", 9).alias("compactness"))
+
+
+def split_scores(spark, d):
+    """How bad each label's rasters of 64 columns are as one side of a division."""
+    g = table(spark, d, "part").groupBy("p_size").agg(F.count("*").alias("n"), F.sum("p_retailprice").cast("double").alias("v"))
+    n = F.col("n").cast("double")
+    q = layers.split_quality(n / 100, F.lit(0.4), n * 2, F.lit(100.0), (F.lit(0.5), n / 200), (F.lit(1.0), F.sqrt(n) / 20), (F.lit(90.0), n))
+    return g.select("p_size", F.round(q, 6).alias("score"))
+
+
+def scenario_faults(spark, d):
+    s = table(spark, d, "orders").select(F.when(F.col("o_custkey") % 50 == 0, F.lit(" ")).otherwise(F.concat(F.lit("province:"), "o_custkey")).alias("province_id"), F.when(F.col("o_orderkey") % 9 == 0, F.lit('{"rings": [], "owner": "x"}')).otherwise(F.lit('{"owner": "y"}')).alias("raw"))
+    p = table(spark, d, "customer").where("c_acctbal > 0").select(F.concat(F.lit("province:"), "c_custkey").alias("id"))
+    return checks.scenario_violations(s, p, ("rings", "geometry"))
+
+
+def allowed_lines(spark, d):
+    allowed = spark.createDataFrame([(1, "a"), (3, "b"), (4, "a")], "l_linenumber int, zone string").withColumn("l_linenumber", F.col("l_linenumber").cast("long"))
+    li = table(spark, d, "lineitem").select("l_orderkey", F.col("l_linenumber").cast("long").alias("l_linenumber"), "l_quantity")
+    return layers.allocated(li, allowed, "l_linenumber").groupBy("zone").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("quantity"))
+
+
+QUERIES = {f.__name__: f for f in (kept_islands, zone_figures, split_scores, scenario_faults, allowed_lines, changed_cells, painted_cells, whole_order_areas, kept_partitions, review_queue, division_report, one_way_neighbours, enemy_cuts, cheapest_path_cost, thinned_places, seed_grid, relaxed_centres, hairpins, small_cell_markers, content_tiles, border_lines, aliased_cells, marine_features)}
 
 _LINKS = "l as (select p_partkey as a, p_partkey // 3 as b, 1 + p_size % 9 as w from part where p_size <> 13 union all select p_partkey, p_partkey // 5, 3 from part where p_size <> 13 and p_size % 4 = 0)"
 SQL = {
+    "kept_islands": """with p as (select c_custkey as id, 'isle ' || c_custkey % 97 as name, c_nationkey as country, c_acctbal::double as area, c_custkey * 7919 % 360 - 180 as lon, c_custkey * 104729 % 180 - 90 as lat from customer),
+b as (select country, name, row_number() over (partition by country order by area desc, 'Isle ' || id % 97) as r from p)
+select id, area from p where name in ('isle 5', 'isle 7') or country in (1, 2) or (lon between 100 and 140 and lat between -10 and 10) or (country, name) in (select country, name from b where (country = 3 and r <= 2) or (country = 4 and r <= 1))
+or area >= case when lon between -90 and -60 and lat between 10 and 28 then 1000 else 3000 end""",
+    "zone_figures": f"with {places._BRICK}, {places._BORDER}, z as (select p_partkey as id, p_size % 5 as zone from part), s as (select x.zone as za, y.zone as zb, length from p join z x on x.id = a join z y on y.id = b where length > 3 and x.zone <> y.zone), o as (select zone, sum(length) as outline from (select za as zone, length from s union all select zb, length from s) group by zone), g as (select zone, count(*) as atoms, 300.0::double * count(*) as area from z group by zone) select zone, atoms, area, coalesce(outline, 0)::double as outline, round(case when outline > 0 then 4 * pi() * area / (outline * outline) else 0 end, 9) as compactness from g left join o using (zone)",
+    "split_scores": "with g as (select p_size, count(*)::double as n from part group by 1) select p_size, round(abs(n / 100 - 0.4::double) * 6 + n * 2 / 10 * 0.42::double + (1.5::double - n / 200) * 0.7::double + (greatest(0, 0.12::double - 1 / sqrt(90.0::double)) + greatest(0, 0.12::double - sqrt(n) / 20 / sqrt(n))) * 10, 6) as score from g",
+    "scenario_faults": """with s as (select case when o_custkey % 50 = 0 then ' ' else 'province:' || o_custkey end as k, o_orderkey % 9 = 0 as bad from orders)
+select k as key, 'empty_province_id' as rule from s where k = ' ' union all select k, 'forbidden_field' from s where bad union all select distinct k, 'unknown_province' from s where k not in (select 'province:' || c_custkey from customer where c_acctbal > 0) union all select k, 'duplicate_province_id' from s group by k having count(*) > 1""",
+    "allowed_lines": "with a(n, zone) as (values (1, 'a'), (3, 'b'), (4, 'a')) select zone, count(*) as n, sum(l_quantity) as quantity from lineitem join a on a.n = l_linenumber group by zone",
     "changed_cells": "select s_suppkey as id, case when c_acctbal > 0 then c_acctbal else s_acctbal end as v, s_nationkey from supplier left join customer on c_custkey = s_suppkey",
     "painted_cells": "select s_suppkey as id, s_acctbal as v, case when s_acctbal < 0 then '#a00000' when s_acctbal < 5000 then '#c0c000' else '#00a000' end as color from supplier union all select s_suppkey, s_acctbal, printf('%.6f', s_suppkey * ((sqrt(5) - 1) / 2) - floor(s_suppkey * ((sqrt(5) - 1) / 2))) from supplier",
     "whole_order_areas": "with w as (select l_orderkey, sum(l_quantity) as whole from lineitem group by 1) select l_orderkey, l_linenumber, whole, case when whole * 3 >= 500 then 'large' when whole * 3 >= 15 then 'small' end as tier from lineitem join w using (l_orderkey)",
     "kept_partitions": "select s_nationkey as g, s_suppkey as cell from supplier union all select c_nationkey, c_custkey from customer where c_nationkey not in (select s_nationkey from supplier)",
     "review_queue": "with q as (select c_custkey as id, row_number() over (order by c_acctbal, c_custkey) as place from customer where c_acctbal < 0) select id, place, coalesce(lead(id) over (order by place), first_value(id) over (order by place)) as next from q",
     "division_report": "with o as (select o_custkey, o_totalprice::double as a, sqrt(o_totalprice::double) * (4 + o_orderkey % 5) as p from orders), c as (select *, 4 * pi() * a / (p * p) as k from o) select o_custkey, count(*) as cells, round(min(a), 6) as least, round(max(a), 6) as most, round(avg(a), 6) as mean, round(max(a) / min(a), 6) as ratio, round(min(k), 6) as least_compact, round(avg(k), 6) as mean_compact, o_custkey % 2 = 1 as coverage_ok from c group by o_custkey",
-    "one_way_neighbours": "with p as (select distinct l_suppkey % 40 as a, l_partkey % 40 as b from lineitem) select a, b from p where (b, a) not in (select a, b from p)",
+    "one_way_neighbours": "with p as (select distinct l_suppkey as a, l_partkey as b from lineitem) select a, b from p where (b, a) not in (select a, b from p)",
     "enemy_cuts": "with p as (select p_partkey % 5 as circle, p_partkey % 17 as ray, p_partkey as pixel, (p_partkey * 7 % 101)::double as d, p_size >= 40 as foe from part), s as (select circle, ray, min(d) as stop from p where foe group by all) select circle, ray, pixel, d from p left join s using (circle, ray) where not foe and (stop is null or d < stop)",
     "relaxed_centres": """with c as (select c_custkey * 7919 % 8192 + 0.5::double as x, c_custkey * 104729 % 8192 + 0.5::double as y, c_custkey as k from customer), s0 as (select s_suppkey as id, (s_suppkey * 6211 % 8192)::double as x, (s_suppkey * 50021 % 8192)::double as y from supplier),
 o1 as (select c.x, c.y, s0.id, row_number() over (partition by k order by (c.x - s0.x) * (c.x - s0.x) + (c.y - s0.y) * (c.y - s0.y), s0.id) as r from c, s0), m1 as (select id, avg(x) as mx, avg(y) as my from o1 where r = 1 group by id), s1 as (select id, coalesce(mx, x) as x, coalesce(my, y) as y from s0 left join m1 using (id)),

@@ -124,3 +124,12 @@ def test_deleted_rows_of_a_table():
     field = b"n".ljust(11, b"\0") + b"C" + bytes(4) + bytes([2, 0]) + bytes(14)
     data = struct.pack("<B3BIHH20x", 3, 0, 0, 0, 3, 65, 3) + field + b"\r" + b" a *b  c "
     assert list(files.attributes(data, "latin-1")) == [(1, {"n": "a"}), (3, {"n": "c"})]
+
+
+def test_document_faults(spark, tmp_path):
+    from cartolith.operators import checks
+
+    good, bad = _save(tmp_path / "good.json", {"schema_version": 1, "items": []}), _save(tmp_path / "bad.json", {"items": [1]})
+    out = checks.document_violations(spark, {good: True, bad: True, f"{tmp_path}/none.json": True, f"{tmp_path}/maybe.json": False}, (str(tmp_path),))
+    assert sorted((r.key.rsplit("/", 1)[1], r.rule) for r in out.collect()) == [("bad.json", "no_schema_version"), ("maybe.json", "warning_missing"), ("none.json", "missing")]
+    assert checks.document_violations(spark, {good: True}).collect() == []
