@@ -59,22 +59,25 @@ def grow(edges: DataFrame, seeds: DataFrame, max_rounds: int = 1000) -> DataFram
     raise RuntimeError(f"growth did not end in {max_rounds} rounds")
 
 
-def cheapest(edges: DataFrame, seeds: DataFrame, max_rounds: int = 1000) -> DataFrame:
+def cheapest(edges: DataFrame, seeds: DataFrame, max_rounds: int = 1000, steps: int | None = None) -> DataFrame:
     """node, owner, cost: the cheapest way from each seed (node, owner) over undirected edges (a, b, w), w above 0.
 
-    Only nodes whose cost fell in the round before are relaxed again.
+    Only nodes whose cost fell in the round before are relaxed again. With steps, the cheapest among ways of at most so
+    many edges: a round adds one edge to the ways of the round before.
     """
     both = _both_ways(edges, "w")
     kind = dict(edges.dtypes)["w"]
     state = materialize(seeds.select("node", "owner", F.lit(0).cast(kind).alias("cost")).distinct())
     fell = state
-    for _ in range(max_rounds):
+    for _ in range(max_rounds if steps is None else steps):
         offers = both.join(fell.withColumnRenamed("node", "a"), "a").groupBy(F.col("b").alias("node"), "owner").agg(F.min(F.col("cost") + F.col("w")).cast(kind).alias("cost"))
         known = state.select("node", "owner", F.col("cost").alias("old"))
         fell = materialize(offers.join(known, ["node", "owner"], "left").where("old is null or cost < old").select("node", "owner", "cost"))
         if not fell.limit(1).count():
             return state
         state = materialize(state.union(fell).groupBy("node", "owner").agg(F.min("cost").alias("cost")))
+    if steps is not None:
+        return state
     raise RuntimeError(f"costs did not settle in {max_rounds} rounds")
 
 
