@@ -248,7 +248,7 @@ def _full_sets(docs: DataFrame, node: Callable, involved: DataFrame, repeats: bo
 
 
 def _component_of_classes(docs: DataFrame, rows: DataFrame, percent: int, rounds: int, repeats: bool) -> tuple[DataFrame, DataFrame]:
-    """(classes, nodes): n, s1, s2, rep, top for each distinct set; and node, component for each of their reps.
+    """(classes, nodes): n, s1, s2, rep, top for each distinct set; and node, component for each of their reps that may have links.
 
     A node is a class's smallest id. Where ids repeat, one id may stand for several sets, and a node is that id with
     the set's digest.
@@ -282,12 +282,15 @@ def _component_of_classes(docs: DataFrame, rows: DataFrame, percent: int, rounds
         with_hub = materialize(left.join(own, "key"))
         far = distances(with_hub.where("hub <> id").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), sets)
         far = materialize(far.select("a", "b", _linked(F.col("n_a"), F.col("n_b"), F.col("common"), percent).alias("ok"), (1 - F.col("common") / (F.col("n_a") + F.col("n_b") - F.col("common"))).alias("d")))
-        known = with_hub.join(far.select("a", "b", "d"), (F.col("hub") == F.col("a")) & (F.col("id") == F.col("b")), "left")
-        known = materialize(known.select("key", "id", "c", F.concat("ds", F.array(F.coalesce("d", F.lit(0.0)))).alias("ds")))
-        place = materialize(known.select("id", "c").distinct())
+        place = materialize(left.select("id", "c").distinct())
         links = far.where("ok").join(place.select(F.col("id").alias("a"), F.col("c").alias("c_a")), "a").join(place.select(F.col("id").alias("b"), F.col("c").alias("c_b")), "b")
         maps.append(_components(links.where("c_a <> c_b").select(F.col("c_a").alias("a"), F.col("c_b").alias("b")).distinct()))
-        left = _mixed(materialize(known.join(maps[-1], "c", "left").select("key", "id", F.coalesce("c2", "c").alias("c"), "ds")))
+        # components are looked up once for each node, not for each of its buckets; distances and they travel together
+        moved = materialize(place.join(maps[-1], "c").select(F.col("id").alias("b"), "c2"))
+        hubs_too = own.select(F.col("hub").alias("a"), F.col("hub").alias("b"), F.lit(0.0).alias("d")).distinct()
+        reached = far.select("a", "b", "d").union(hubs_too).join(moved, "b", "left")
+        known = with_hub.join(reached, (F.col("hub") == F.col("a")) & (F.col("id") == F.col("b")), "left")
+        left = _mixed(materialize(known.select("key", "id", F.coalesce("c2", "c").alias("c"), F.concat("ds", F.array(F.coalesce("d", F.lit(0.0)))).alias("ds"))))
     if not left.isEmpty():
         # only here do signatures and sketches travel, with the rows of buckets that are still mixed
         lanes = reps.select("id", "n", "sig").join(left.select("id").distinct(), "id", "left_semi").mapInArrow(_words, f"id {kind}, n long, " + ", ".join(f"{w} long" for w in LANES))
@@ -301,7 +304,9 @@ def _component_of_classes(docs: DataFrame, rows: DataFrame, percent: int, rounds
         more = materialize(more.groupBy(F.col("id_a").alias("a"), F.col("id_b").alias("b")).agg(F.first("c_a").alias("c_a"), F.first("c_b").alias("c_b")))
         extra = confirmed(more, sets, percent).join(more, ["a", "b"]).select(F.col("c_a").alias("a"), F.col("c_b").alias("b"))
         maps.append(_components(extra.distinct()))
-    out = classes.select(F.col("rep").alias("node"), F.col("rep").alias("c"))
+    # nodes that share no bucket have no link
+    every = classes.select(F.col("rep").alias("id")) if repeats else involved
+    out = every.select(F.col("id").alias("node"), F.col("id").alias("c"))
     for one in maps:
         out = out.join(one, "c", "left").select("node", F.coalesce("c2", "c").alias("c"))
     if repeats:
@@ -328,7 +333,7 @@ def near_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         repeats = not rows.where("id is not null").groupBy("id").count().where("count > 1").isEmpty()
         classes, comp = _component_of_classes(docs, rows, percent, rounds, repeats)
         label = (lambda x: F.col(f"{x}.id")) if repeats else F.col
-        of_class = classes.join(comp.select(F.col("node").alias("rep"), "component"), "rep", "left").select("n", "s1", "s2", label("rep").alias("rep"), label("top").alias("top"), label("component").alias("c"))
+        of_class = classes.join(comp.select(F.col("node").alias("rep"), "component"), "rep", "left").select("n", "s1", "s2", label("rep").alias("rep"), label("top").alias("top"), F.coalesce(label("component"), label("rep")).alias("c"))
         # classes of one row and no link need no join: their row is its own component
         of_class = materialize(of_class.where("rep < top or c <> rep").select("n", "s1", "s2", "c"))
         out = rows.select("id", "n", "s1", "s2").join(of_class, ["n", "s1", "s2"], "left").select("id", "n", F.when(F.col("id").isNotNull(), F.coalesce(F.when(F.col("n") > 0, F.col("c")), "id")).alias("c"))
