@@ -78,8 +78,8 @@ def coast_distances(spark, d):
 
 def coastal_cells(spark, d):
     """Cells with an island's shore within 10, and how many."""
-    near = P.boundary_distances(cells(spark, d), islands(spark, d), 10.0)
-    return near.groupBy(F.col("a_id").alias("id")).agg(F.count("*").alias("shores"), F.round(F.min("distance"), 6).alias("nearest"))
+    near = P.boundaries_near(cells(spark, d), islands(spark, d), 10.0)
+    return near.select(F.col("a_id").alias("id"), F.col("n").alias("shores"), F.round("nearest", 6).alias("nearest"))
 
 
 def pieces_in_holes(spark, d):
