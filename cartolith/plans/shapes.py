@@ -43,10 +43,7 @@ def speed_profile(spark, d):
 def mask_overlaps(spark, d):
     """Pixels in both masks, in one, and in the other, for each two cells whose masks meet."""
     own = places.places(spark, d).select("id", F.floor("x").alias("bx"), F.floor("y").alias("by"))
-    m = rasters.rasterized(own.select("id", F.array(places._ring(places._OUTER, "bx", "by", F.lit(3))).alias("rings")), 64.0)
-    n = m.groupBy("id").count()
-    both = m.select(F.col("id").alias("a"), "row", "col").join(m.select(F.col("id").alias("b"), "row", "col"), ["row", "col"]).where("a < b").groupBy("a", "b").agg(F.count("*").alias("common"))
-    return both.join(n.select(F.col("id").alias("a"), F.col("count").alias("na")), "a").join(n.select(F.col("id").alias("b"), F.col("count").alias("nb")), "b").select("a", "b", "common", (F.col("na") + F.col("nb") - 2 * F.col("common")).alias("different"))
+    return rasters.mask_overlaps(own.select("id", F.array(places._ring(places._OUTER, "bx", "by", F.lit(3))).alias("rings")), 64.0)
 
 
 def inner_land(spark, d):
