@@ -79,7 +79,8 @@ def segment_distance(px: Column, py: Column, ax: Column, ay: Column, bx: Column,
     dx, dy = bx - ax, by - ay
     length = dx * dx + dy * dy
     t = F.when(length > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((px - ax) * dx + (py - ay) * dy) / length))).otherwise(F.lit(0.0))
-    return F.hypot(px - ax - t * dx, py - ay - t * dy)
+    u, v = px - ax - t * dx, py - ay - t * dy
+    return F.sqrt(u * u + v * v)
 
 
 def half_up(x: Column) -> Column:
