@@ -158,19 +158,48 @@ def jittered_grid(spark, step: float, columns: int, rows: int, keep: Callable[[C
     return g.where(unit(3) < keep(F.col("x"), F.col("y"))).select("id", "x", "y")
 
 
+def nearest_centre(points: DataFrame, centres: DataFrame) -> DataFrame:
+    """points (x, y, ...) of different places with `id`, the nearest of centres (id, x, y) at any distance; the smallest id wins a tie.
+
+    Cells begin as wide as centres are apart on average. What lies nearer than a cell's width is among the nine cells
+    around a point; points without such a centre look again in cells twice as wide. Without centres there are no rows.
+    """
+    real = (F.abs("x") < float("inf")) & (F.abs("y") < float("inf"))
+    c = materialize(centres.where(real).groupBy("x", "y").agg(F.min("id").alias("id")))
+    open_, done = materialize(points.where(real)), None
+    b = c.agg(F.count("*").alias("n"), *[f(v).alias(f"{f.__name__}_{v}") for f in (F.min, F.max) for v in "xy"]).first()
+    if not b.n:
+        return open_.limit(0).crossJoin(centres.select("id").limit(0))
+    w, h = b.max_x - b.min_x, b.max_y - b.min_y
+    side = max((w * h / b.n) ** 0.5, max(w, h) / b.n) or 1.0
+    around = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
+    while True:
+        at = lambda v: F.floor(F.col(v) / side)  # noqa: B023, E731
+        t = c.select("id", F.col("x").alias("_x"), F.col("y").alias("_y"), at("x").alias("_i"), at("y").alias("_j"), F.inline(around))
+        t = t.select("id", "_x", "_y", (F.col("_i") + F.col("i")).alias("cx"), (F.col("_j") + F.col("j")).alias("cy"))
+        d = (F.col("x") - F.col("_x")) * (F.col("x") - F.col("_x")) + (F.col("y") - F.col("_y")) * (F.col("y") - F.col("_y"))
+        near = open_.select("x", "y", at("x").alias("cx"), at("y").alias("cy")).join(t.hint("merge"), ["cx", "cy"])
+        # a little less than the width, which rounding cannot reach
+        best = near.select("x", "y", "id", d.alias("d")).where(F.col("d") < (0.999 * side) ** 2).groupBy("x", "y").agg(F.min(F.struct("d", "id"))["id"].alias("id"))
+        found = materialize(open_.join(best.hint("merge"), ["x", "y"], "left"))
+        own = found.where("id is not null")
+        done = own if done is None else done.union(own)
+        open_ = found.where("id is null").drop("id")
+        if open_.isEmpty():
+            return done
+        side *= 2
+
+
 def relaxed(points: DataFrame, centres: DataFrame, rounds: int) -> DataFrame:
     """centres (id, x, y) moved to the mean of the points (x, y) nearest to each, so many times; a centre without points stays.
 
-    Centres are few and broadcast: their number is the caller's choice and not the data's; more than 10,000 are an error.
+    Points of one place are compared once and count as often as they are.
     """
-    if centres.count() > 10_000:
-        raise ValueError("too many centres to compare each point with all")
+    places = materialize(points.groupBy("x", "y").agg(F.count("*").alias("n")))
     for _ in range(rounds):
-        c = F.broadcast(centres.select(F.lit(1).alias("one"), F.struct("id", "x", "y").alias("c")).groupBy("one").agg(F.array_sort(F.collect_list("c")).alias("cs")))
-        d = lambda q: (F.col("x") - q["x"]) * (F.col("x") - q["x"]) + (F.col("y") - q["y"]) * (F.col("y") - q["y"])
-        own = points.crossJoin(c).select("x", "y", F.array_min(F.transform("cs", lambda q: F.struct(d(q).alias("d"), q["id"].alias("id"))))["id"].alias("id"))
-        mean = own.groupBy("id").agg(F.avg("x").alias("mx"), F.avg("y").alias("my"))
-        centres = materialize(centres.join(mean, "id", "left").select("id", F.coalesce("mx", "x").alias("x"), F.coalesce("my", "y").alias("y")))
+        own = nearest_centre(places, centres)
+        mean = own.groupBy("id").agg(*[(F.sum(F.col(v) * F.col("n")) / F.sum("n")).alias(f"m{v}") for v in "xy"])
+        centres = materialize(centres.join(mean.hint("merge"), "id", "left").select("id", F.coalesce("mx", "x").alias("x"), F.coalesce("my", "y").alias("y")))
     return centres
 
 
