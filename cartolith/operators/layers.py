@@ -130,24 +130,31 @@ def thinned(points: DataFrame, radius: float, max_rounds: int = 200) -> DataFram
     """Points (id, x, y) of which no two are nearer than radius, and none could be added: dart throwing in a hashed order.
 
     In a round each open point that has the smallest hash among the open ones in reach stays, and those in reach of it
-    go. The result is that of throwing the points one by one in the order of their hashes; rounds are few.
+    go. The result is that of throwing the points one by one in the order of their hashes; rounds are few. Two points of
+    a cell are always in reach of each other, so only the first of each cell is held against the 25 cells around; pairs
+    of points are never listed. A point without a place has none in reach and stays.
     """
+    side = radius / 1.5
     rank = lambda i: F.struct(F.xxhash64(i).alias("h"), F.col(i).alias("i"))
-    cells = points.select("id", "x", "y", F.floor(F.col("x") / radius).alias("cx"), F.floor(F.col("y") / radius).alias("cy"))
-    around = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    sent = cells.select(F.col("id").alias("a"), F.col("x").alias("ax"), F.col("y").alias("ay"), "cx", "cy", F.inline(around)).select("a", "ax", "ay", (F.col("cx") + F.col("i")).alias("cx"), (F.col("cy") + F.col("j")).alias("cy"))
-    near = sent.join(cells, ["cx", "cy"]).where((F.col("a") != F.col("id")) & ((F.col("ax") - F.col("x")) * (F.col("ax") - F.col("x")) + (F.col("ay") - F.col("y")) * (F.col("ay") - F.col("y")) < radius * radius))
-    near = materialize(near.select("a", F.col("id").alias("b")))
-    open_, chosen = materialize(points.select("id")), None
+    placed = points.where("x is not null and y is not null").select("x", "y", rank("id").alias("r"))
+    # of points of one place all but the first go, whether it stays or goes
+    open_ = materialize(placed.groupBy("x", "y").agg(F.min("r").alias("r")).select("x", "y", "r", F.floor(F.col("x") / side).alias("cx"), F.floor(F.col("y") / side).alias("cy")))
+    chosen = points.where("x is null or y is null").select("id")
+    around = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in range(-2, 3) for j in range(-2, 3)])
+    gap = (F.col("ax") - F.col("x")) * (F.col("ax") - F.col("x")) + (F.col("ay") - F.col("y")) * (F.col("ay") - F.col("y"))
+
+    def in_reach(some: DataFrame) -> DataFrame:
+        sent = some.select(F.col("x").alias("ax"), F.col("y").alias("ay"), F.col("r").alias("ar"), F.col("cx").alias("_x"), F.col("cy").alias("_y"), F.inline(around))
+        sent = sent.select("ax", "ay", "ar", (F.col("_x") + F.col("i")).alias("cx"), (F.col("_y") + F.col("j")).alias("cy"))
+        return open_.join(sent.hint("merge"), ["cx", "cy"]).where(gap < radius * radius)
+
     for _ in range(max_rounds):
-        rivals = near.join(open_.select(F.col("id").alias("b")), "b").groupBy("a").agg(F.min(rank("b")).alias("best"))
-        won = open_.join(rivals, open_["id"] == rivals["a"], "left").where(F.col("best").isNull() | (rank("id") < F.col("best"))).select("id")
-        won = materialize(won)
-        chosen = won if chosen is None else chosen.union(won)
-        gone = near.join(won.select(F.col("id").alias("a")), "a").select(F.col("b").alias("id")).union(won)
-        open_ = materialize(open_.join(gone, "id", "left_anti"))
         if open_.isEmpty():
-            return points.join(chosen, "id", "left_semi")
+            return points.join(chosen.hint("merge"), "id", "left_semi")
+        first = open_.groupBy("cx", "cy").agg(F.min(F.struct("r", "x", "y")).alias("m")).select("m.*", "cx", "cy")
+        won = materialize(first.join(in_reach(first).where("r < ar").select(F.col("ar").alias("r")).distinct().hint("merge"), "r", "left_anti"))
+        chosen = chosen.union(won.select("r.i"))
+        open_ = materialize(open_.join(in_reach(won).select("r").distinct().hint("merge"), "r", "left_anti"))
     raise RuntimeError(f"darts did not settle in {max_rounds} rounds")
 
 
