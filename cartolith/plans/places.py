@@ -63,8 +63,9 @@ def _sides(spark, d):
 
 
 def nearest_sides(spark, d):
-    n = P.nearest_side(places(spark, d), _sides(spark, d), 80.0)
-    return n.select("point_id", F.round("distance", 6).alias("distance"), F.round("fx", 4).alias("fx"), F.round("fy", 4).alias("fy"))
+    points = places(spark, d)
+    n = P.nearest_of_places(points, _sides(spark, d), 80.0)
+    return P.at_places(points, n.select("x", "y", F.round("distance", 6).alias("distance"), F.round("fx", 4).alias("fx"), F.round("fy", 4).alias("fy")))
 
 
 def snapped_places(spark, d):
