@@ -43,6 +43,8 @@ ROUNDS = 2
 PIECE = 1 << 18
 #: The largest bitmap of involved rows that is broadcast
 MAP_BYTES = 1 << 26
+#: Keys that one task makes and aggregates at a time, whatever the size of the files that signatures come from
+TASK_KEYS = 1 << 19
 #: The largest chance that two signatures of a linked pair differ in more symbols than the keys allow for
 MISS = 9e-6
 _FACTORS = constants(SYMBOLS, 41)
@@ -148,6 +150,16 @@ def _keys(batches, chunk_count: int = CHUNKS, rows: int = 2048):
             yield pa.RecordBatch.from_arrays([pa.array(row_keys(sig, chunk_count).reshape(-1).view(np.int64)), b.column("id").take(take)], ["key", "id"])
 
 
+def keys_of(reps: DataFrame, chunk_count: int = CHUNKS) -> DataFrame:
+    """key, id: all keys of the rows (id, sig), dealt out so that a task makes about TASK_KEYS.
+
+    A row of 128 bytes becomes SYMBOLS keys, nearly all of them different: a task's aggregate would hold some 30 times
+    the bytes that it read.
+    """
+    tasks = -(-reps.count() * SYMBOLS // TASK_KEYS) or 1
+    return reps.select("id", "sig").repartition(tasks).mapInArrow(partial(_keys, chunk_count=chunk_count), f"key long, id {dict(reps.dtypes)['id']}")
+
+
 def _sets(batches, wanted=None):
     """id, digest, set and sketch of the rows of (id, text, h) whose h is in wanted."""
     for b in batches:
@@ -262,7 +274,7 @@ def _component_of_classes(docs: DataFrame, rows: DataFrame, percent: int, rounds
     classes = materialize(full.groupBy("n", "s1", "s2").agg(F.min("id").alias("rep"), F.max("id").alias("top")))
     reps = full.join(classes.select(F.col("rep").alias("id"), "n", "s1", "s2"), ["id", "n", "s1", "s2"])
     reps = materialize((reps.dropDuplicates(["id"]) if repeats else reps).select("id", "n", "sig"))
-    keys = reps.select("id", "sig").mapInArrow(partial(_keys, chunk_count=parts), f"key long, id {kind}")
+    keys = keys_of(reps, parts)
     hubs = materialize(keys.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("many")).where("many > 1").select("key", "hub"))
     members = materialize(keys.join(hubs, "key"))
     involved = materialize(members.select("id").distinct())

@@ -4,10 +4,12 @@ import hashlib
 import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from cartolith.llm import bpe, decontaminate, exact, licenses, linear, lines, minhash, pieces, substrings
 from cartolith.llm.queries import registry
@@ -104,6 +106,17 @@ def test_near_joined_texts_agree_with_bitmap(spark, monkeypatch):
     assert rows_of_spark(minhash.near_groups(frame)) == want
 
 
+def test_no_task_makes_many_keys(spark, monkeypatch):
+    """Signatures of one file become keys in several tasks, each of about the bound, and no key is lost."""
+    sig = np.random.default_rng(5).integers(0, 1 << 16, (100, minhash.SYMBOLS)).astype("<u2")
+    reps = spark.createDataFrame([(k, s.tobytes()) for k, s in enumerate(sig)], "id long, sig binary").coalesce(1)
+    monkeypatch.setattr(minhash, "TASK_KEYS", 10 * minhash.SYMBOLS)
+    rows = minhash.keys_of(reps, 15).withColumn("task", F.spark_partition_id()).collect()
+    assert max(Counter(r.task for r in rows).values()) <= 15 * minhash.SYMBOLS
+    want = minhash.row_keys(sig, 15).view(np.int64)
+    assert sorted((r.id, r.key) for r in rows) == sorted((k, int(x)) for k, row in enumerate(want) for x in row)
+
+
 # --- BPE ------------------------------------------------------------------------------------------------------------
 
 
